@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -61,7 +61,7 @@ class Check:
     parent: str | None = None
     parent_field: str | None = None
     values: tuple[str, ...] = ()
-    bad: Column | None = field(default=None, compare=False)
+    bad: Callable[[], Column] | None = field(default=None, compare=False)
     name: str | None = None
 
     @property
@@ -81,7 +81,7 @@ class Check:
         if self.kind == "accepted_values":
             return accepted_values(df, self.columns[0], self.values)
         if self.kind == "expression":
-            return expression_check(df, self.bad)
+            return expression_check(df, self.bad())
         raise ValueError(f"unknown check kind {self.kind!r}")
 
     def failure_count(self, models: Mapping[str, DataFrame]) -> DataFrame:

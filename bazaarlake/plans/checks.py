@@ -113,9 +113,9 @@ def suite() -> list[Check]:
         Check(MONITORING, "accepted_values", ("ingestion_result",), values=RESULTS),
         Check("stg_reviews", "composite_unique", ("review_id", "order_id")),
         Check(MONITORING, "composite_unique", ("batch_id", "entity")),
-        Check(MONITORING, "expression", bad=bad_counts(), name="valid_record_counts"),
-        Check(MONITORING, "expression", bad=bad_duration(), name="valid_duration"),
-        Check("fct_orders", "expression", bad=unpaid_delivery(), name="paid_when_delivered", severity=WARN),
+        Check(MONITORING, "expression", bad=bad_counts, name="valid_record_counts"),
+        Check(MONITORING, "expression", bad=bad_duration, name="valid_duration"),
+        Check("fct_orders", "expression", bad=unpaid_delivery, name="paid_when_delivered", severity=WARN),
     ]
     return checks
 

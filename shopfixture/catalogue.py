@@ -190,12 +190,7 @@ def _(m):
     return m.fct_orders
 
 
-@query(
-    "m02_fct_order_items",
-    f"""SELECT order_id, order_item_id, customer_id, customer_unique_id, product_id, seller_id, shipping_limit_at,
-    order_status, purchased_at, {dbl('price')} AS price, {dbl('i.freight_value')} AS freight_value,
-    {dbl('price + i.freight_value')} AS item_total_value FROM stg_order_items i LEFT JOIN enriched USING (order_id)""",
-)
+@query("m02_fct_order_items", replaced("fct_order_items", f"{ITEM_MONEY} item_total_value"))
 def _(m):
     return marts.fct_order_items(m.items, m.enriched)
 
@@ -235,7 +230,7 @@ def _(m):
     return m.customer_rfm
 
 
-DAILY_SQL = f"""SELECT CAST(sales_date AS TIMESTAMP) AS sales_date, total_orders, customers AS unique_customers,
+DAILY_SQL = f"""SELECT CAST(sales_date AS TIMESTAMP) AS sales_date, total_orders, unique_customers,
     {dbl('total_sales')} AS total_sales, {dbl('total_freight')} AS total_freight,
     {dbl('recorded_payment_value')} AS recorded_payment_value, average_order_value, average_delivery_days,
     late_deliveries, delivered_orders, orders_with_payment,
@@ -252,7 +247,7 @@ def _(m):
     return marts.customer_repeat_metrics(m.fct_orders)
 
 
-OVERALL_SQL = f"""total_orders, customers AS total_customers_with_orders, {dbl('total_sales')} AS total_sales,
+OVERALL_SQL = f"""total_orders, unique_customers AS total_customers_with_orders, {dbl('total_sales')} AS total_sales,
     {dbl('total_freight')} AS total_freight, {dbl('recorded_payment_value')} AS recorded_payment_value,
     average_order_value, average_delivery_days, late_deliveries, delivered_orders, orders_with_payment"""
 

@@ -139,6 +139,10 @@ for _name, _key in (("customers", "customer_id"), ("products", "product_id"), ("
     VIEWS[f"op_{_name}"] = f"""SELECT *, CAST({_created} AS VARCHAR) AS created_at,
     CAST({_created} + {d(f'({_k} * 7) % 500')} AS VARCHAR) AS updated_at FROM raw_{_name}"""
 
+VIEWS["op_orders"] = """SELECT * REPLACE (lower(trim(order_status)) AS order_status) FROM raw_orders"""
+for _name in ("order_items", "payments", "reviews"):
+    VIEWS[f"op_{_name}"] = f"SELECT * FROM raw_{_name}"
+
 # ---- audit
 _entities = ", ".join(quoted(e.name) for e in ENTITIES)
 VIEWS["audit"] = f"""SELECT 'B' || lpad(CAST(event_id // 7 AS VARCHAR), 7, '0') AS batch_id,
@@ -250,6 +254,9 @@ VIEWS["performance"] = """SELECT * FROM seller_sales LEFT JOIN seller_delivery U
 VIEWS["fct_orders"] = """SELECT * REPLACE (coalesce(item_count, 0) AS item_count, coalesce(item_value, 0) AS item_value,
     coalesce(freight_value, 0) AS freight_value), payment_value - enriched.item_value AS payment_item_value_difference
     FROM enriched"""
+VIEWS["fct_order_items"] = """SELECT order_id, order_item_id, customer_id, customer_unique_id, product_id, seller_id,
+    shipping_limit_at, order_status, purchased_at, price, i.freight_value, price + i.freight_value AS item_total_value
+    FROM stg_order_items i LEFT JOIN enriched USING (order_id)"""
 VIEWS["dim_customers"] = f"""SELECT customer_unique_id,
     first(customer_city ORDER BY purchased_at NULLS FIRST, order_id) FILTER (WHERE customer_city IS NOT NULL) AS customer_city,
     first(customer_state ORDER BY purchased_at NULLS FIRST, order_id) FILTER (WHERE customer_state IS NOT NULL) AS customer_state,
@@ -289,7 +296,7 @@ VIEWS["rfm"] = """SELECT *, recency_score || '' || frequency_score || '' || mone
         WHEN recency_score >= 4 AND frequency_score < 3 THEN 'New Customers'
         WHEN recency_score < 3 THEN if(frequency_score >= 3, 'At Risk', 'Hibernating')
         ELSE 'Potential Loyalists' END AS customer_segment FROM rfm_scores"""
-_sales = f"""COUNT(DISTINCT order_id) AS total_orders, COUNT(DISTINCT customer_unique_id) AS customers,
+_sales = f"""COUNT(DISTINCT order_id) AS total_orders, COUNT(DISTINCT customer_unique_id) AS unique_customers,
     SUM(item_value) AS total_sales, SUM(freight_value) AS total_freight, SUM(payment_value) AS recorded_payment_value,
     {mean('item_value')} AS average_order_value, AVG(delivery_days) AS average_delivery_days,
     COUNT(*) FILTER (WHERE order_status = 'delivered') AS delivered_orders,

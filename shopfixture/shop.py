@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake import schemas as S
-from bazaarlake.functions.expr import MONEY, record_hash
+from bazaarlake.functions.expr import MONEY, lower_text, record_hash
 from bazaarlake.session import tune
 
 FIRST_FEED, SECOND_FEED = "2002-01-01 00:00:00", "2002-01-02 00:00:00"
@@ -65,8 +65,10 @@ class Shop:
         return rows.withColumns({"_batch_id": F.lit("feed"), "_record_hash": record_hash(*keys)})
 
     def operational(self, name: str) -> DataFrame:
-        """The operational copy: masters carry their creation and change times as text."""
+        """The operational copy: clean order status; masters carry their times as text."""
         rows = self.raw(name)
+        if name == "orders":
+            return rows.withColumn("order_status", lower_text(F.col("order_status")))
         if name not in ("customers", "products", "sellers"):
             return rows
         key = F.col(S.ENTITY[name].keys[0]).cast("long")
