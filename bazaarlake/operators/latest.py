@@ -24,10 +24,11 @@ def conform(df: DataFrame, schema: T.StructType) -> list[Column]:
     columns = []
     for want in schema.fields:
         have = present.get(want.name)
+        if have == want.dataType:
+            columns.append(F.col(want.name))
+            continue
         if have is None:
             value = F.lit(None).cast(want.dataType)
-        elif have == want.dataType:
-            value = F.col(want.name)
         elif isinstance(want.dataType, T.NumericType):
             value = safe_cast(F.col(want.name), have, want.dataType)
         else:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.functions.expr import blank_to, exact_avg, safe_ratio, seconds_between
 
 
+# Counts of an empty order table are 0, its sums stay NULL.
+COUNTERS = ("total_orders", "late_deliveries", "delivered_orders", "orders_with_payment")
+
+
 def _or_zero(name: str):
     return F.coalesce(F.col(name), F.lit(0)).alias(name)
 
@@ -134,17 +138,59 @@ def overall_metrics(orders: DataFrame) -> DataFrame:
 
 
 def mart_executive_kpis(orders: DataFrame) -> DataFrame:
-    """The overall row with repeat-customer figures attached by a scalar subquery."""
-    repeat = customer_repeat_metrics(orders).select(F.struct("*").alias("repeat"))
-    overall = overall_metrics(orders).withColumn("repeat", repeat.scalar())
-    customers, returning = F.col("repeat.total_customers"), F.col("repeat.repeat_customers")
-    return overall.select(
-        *[c for c in overall.columns if c != "repeat"],
+    """The overall row and the repeat-customer figures in one pass over the orders.
+
+    Two grouping sets share the scan: per order, which gives the distinct orders and
+    carries every measure, and per customer and order, which gives the distinct
+    orders of each customer. Both are spread by order before anything is summed up.
+    """
+    late = F.col("delivered_late") & (F.col("order_status") == "delivered")
+    measures = {
+        "total_sales": F.sum("item_value"),
+        "sales_known": F.count("item_value"),
+        "total_freight": F.sum("freight_value"),
+        "recorded_payment_value": F.sum("payment_value"),
+        "days_sum": F.sum("delivery_days"),
+        "days_known": F.count("delivery_days"),
+        "late_deliveries": F.count_if(late),
+        "delivered_orders": F.count_if(F.col("order_status") == "delivered"),
+        "orders_with_payment": F.count("payment_count"),
+    }
+    by_order, by_customer = [F.col("order_id")], [F.col("customer_unique_id"), F.col("order_id")]
+    grouped = orders.groupingSets([by_order, by_customer], *by_customer).agg(
+        (F.grouping_id() == 0).alias("per_customer"), *[value.alias(name) for name, value in measures.items()]
+    )
+    counted = grouped.groupBy("per_customer", "customer_unique_id").agg(
+        F.count("order_id").alias("orders"), *[F.sum(name).alias(name) for name in measures]
+    )
+    overall, customer = ~F.col("per_customer"), F.col("per_customer") & F.col("customer_unique_id").isNotNull()
+    total = counted.agg(
+        F.sum(F.when(overall, F.col("orders"))).alias("total_orders"),
+        F.count_if(customer).alias("total_customers"),
+        F.count_if(customer & (F.col("orders") > 1)).alias("repeat_customers"),
+        *[F.sum(F.when(overall, F.col(name))).alias(name) for name in measures],
+    )
+
+    def counter(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0))
+
+    total = total.withColumns({name: counter(name) for name in COUNTERS})
+    return total.select(
+        "total_orders",
+        F.col("total_customers").alias("total_customers_with_orders"),
+        "total_sales",
+        "total_freight",
+        "recorded_payment_value",
+        safe_ratio(F.col("total_sales"), F.col("sales_known")).alias("average_order_value"),
+        safe_ratio(F.col("days_sum"), F.col("days_known")).alias("average_delivery_days"),
+        "late_deliveries",
+        "delivered_orders",
+        "orders_with_payment",
         safe_ratio(F.col("orders_with_payment"), F.col("total_orders")).alias("payment_coverage_rate"),
         safe_ratio(F.col("late_deliveries"), F.col("delivered_orders")).alias("late_delivery_rate"),
-        customers.alias("total_customers"),
-        returning.alias("repeat_customers"),
-        safe_ratio(returning, customers).alias("repeat_customer_rate"),
+        "total_customers",
+        "repeat_customers",
+        safe_ratio(F.col("repeat_customers"), F.col("total_customers")).alias("repeat_customer_rate"),
     )
 
 

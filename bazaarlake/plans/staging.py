@@ -16,6 +16,12 @@ from bazaarlake.functions.expr import clean_text, lower_text
 from bazaarlake.operators.latest import latest_per_key
 
 
+def _key(name: str, normalized: bool):
+    """A cleaned key. One that was cleaned before the window stays a bare column, so
+    that a join on it reuses the partitioning of the window."""
+    return F.col(name) if normalized else clean_text(F.col(name)).alias(name)
+
+
 def _latest(history, ingest, entity, schema, normalize_keys, version=None):
     version = F.col("_ingested_at") if version is None else version
     return latest_per_key(history, ingest, S.ENTITY[entity].keys, schema, version, normalize_keys)
@@ -24,8 +30,9 @@ def _latest(history, ingest, entity, schema, normalize_keys, version=None):
 def stg_customers(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
     changed = F.coalesce(F.col("updated_at").try_cast("timestamp"), F.col("_ingested_at"))
     rows = _latest(history, ingest, "customers", S.CUSTOMERS, normalize_keys, changed)
-    text = ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city"]
+    text = ["customer_unique_id", "customer_zip_code_prefix", "customer_city"]
     return rows.select(
+        _key("customer_id", normalize_keys),
         *[clean_text(F.col(c)).alias(c) for c in text],
         lower_text(F.col("customer_state")).alias("customer_state"),
     )
@@ -34,7 +41,7 @@ def stg_customers(history: DataFrame, ingest: DataFrame, normalize_keys: bool =
 def stg_orders(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
     rows = _latest(history, ingest, "orders", S.ORDERS, normalize_keys)
     return rows.select(
-        clean_text(F.col("order_id")).alias("order_id"),
+        _key("order_id", normalize_keys),
         clean_text(F.col("customer_id")).alias("customer_id"),
         lower_text(F.col("order_status")).alias("order_status"),
         F.col("order_purchase_timestamp").alias("purchased_at"),
@@ -48,7 +55,7 @@ def stg_orders(history: DataFrame, ingest: DataFrame, normalize_keys: bool = Fal
 def stg_order_items(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
     rows = _latest(history, ingest, "order_items", S.ORDER_ITEMS, normalize_keys)
     return rows.select(
-        clean_text(F.col("order_id")).alias("order_id"),
+        _key("order_id", normalize_keys),
         "order_item_id",
         clean_text(F.col("product_id")).alias("product_id"),
         clean_text(F.col("seller_id")).alias("seller_id"),
@@ -61,7 +68,7 @@ def stg_order_items(history: DataFrame, ingest: DataFrame, normalize_keys: bool
 def stg_payments(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
     rows = _latest(history, ingest, "payments", S.PAYMENTS, normalize_keys)
     return rows.select(
-        clean_text(F.col("order_id")).alias("order_id"),
+        _key("order_id", normalize_keys),
         "payment_sequential",
         lower_text(F.col("payment_type")).alias("payment_type"),
         "payment_installments",
@@ -72,7 +79,7 @@ def stg_payments(history: DataFrame, ingest: DataFrame, normalize_keys: bool = F
 def stg_products(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
     rows = _latest(history, ingest, "products", S.PRODUCTS, normalize_keys)
     return rows.select(
-        clean_text(F.col("product_id")).alias("product_id"),
+        _key("product_id", normalize_keys),
         "product_category_name",
         F.col("product_name_lenght").alias("product_name_length"),
         F.col("product_description_lenght").alias("product_description_length"),
@@ -87,8 +94,8 @@ def stg_products(history: DataFrame, ingest: DataFrame, normalize_keys: bool = F
 def stg_reviews(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
     rows = _latest(history, ingest, "reviews", S.REVIEWS, normalize_keys)
     return rows.select(
-        clean_text(F.col("review_id")).alias("review_id"),
-        clean_text(F.col("order_id")).alias("order_id"),
+        _key("review_id", normalize_keys),
+        _key("order_id", normalize_keys),
         "review_score",
         clean_text(F.col("review_comment_title")).alias("review_comment_title"),
         clean_text(F.col("review_comment_message")).alias("review_comment_message"),
@@ -100,7 +107,7 @@ def stg_reviews(history: DataFrame, ingest: DataFrame, normalize_keys: bool = Fa
 def stg_sellers(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
     rows = _latest(history, ingest, "sellers", S.SELLERS, normalize_keys)
     return rows.select(
-        clean_text(F.col("seller_id")).alias("seller_id"),
+        _key("seller_id", normalize_keys),
         "seller_zip_code_prefix",
         clean_text(F.col("seller_city")).alias("seller_city"),
         lower_text(F.col("seller_state")).alias("seller_state"),

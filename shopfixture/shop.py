@@ -7,7 +7,7 @@ one market segment or one order priority.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake import schemas as S
@@ -16,33 +16,112 @@ from bazaarlake.session import tune
 
 FIRST_FEED, SECOND_FEED = "2002-01-01 00:00:00", "2002-01-02 00:00:00"
 UNPAID_BELOW = 6000
-TITLE = "\n title\t\u00a0"
+TITLE = "\n title\t "
 MESSAGE = 'first line\nsaid "second", end '
-CHILD_EPOCH = "1995-01-01 00:00:00"
 
-
-def days(n: Column) -> Column:
-    return F.make_dt_interval(n.cast("int"))
-
-
-def minutes(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), n.cast("int"))
-
-
-def at(text: str) -> Column:
-    return F.lit(text).cast("timestamp")
-
-
-def money(col: Column) -> Column:
-    return col.cast("decimal(18,2)").cast(MONEY)
-
-
-def text(col: Column) -> Column:
-    return col.cast("string")
-
-
-def div(col: Column, n: int) -> Column:
-    return F.floor(col / n).cast("long")
+# Declared, so that opening a table runs no job to look for its schema.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
+def days(n: str) -> str:
+    return f"make_dt_interval(CAST({n} AS INT))"
+
+
+def minutes(n: str) -> str:
+    return f"make_dt_interval(0, 0, CAST({n} AS INT))"
+
+
+def money(column: str) -> str:
+    """Amounts in the driver tables have at most two decimals, which the cast keeps exactly."""
+    return f"CAST({column} AS {MONEY.simpleString()})"
+
+
+BOUGHT = "CAST(o_orderdate AS TIMESTAMP)"
+
+CUSTOMER = {
+    "customer_id": "CAST(c_custkey AS STRING)",
+    "customer_unique_id": "concat('U', c_custkey DIV 2)",
+    "customer_zip_code_prefix": "lpad(CAST(c_custkey AS STRING), 5, '0')",
+    "customer_city": "n_name",
+    "customer_state": "concat(' ', r_name, ' ')",
+}
+ORDER = {
+    "order_id": "CAST(o_orderkey AS STRING)",
+    "customer_id": "CAST(o_custkey AS STRING)",
+    "order_status": """CASE WHEN o_orderstatus = 'F' THEN ' Delivered ' WHEN o_orderstatus = 'O' THEN 'shipped'
+        WHEN o_orderkey % 2 = 0 THEN 'canceled' ELSE 'processing' END""",
+    "order_purchase_timestamp": BOUGHT,
+    "order_approved_at": f"IF(o_orderstatus != 'P', {BOUGHT} + {minutes('o_orderkey % 116 + 5')}, NULL)",
+    "order_delivered_carrier_date": f"IF(o_orderstatus = 'F', {BOUGHT} + {days('o_orderkey % 3 + 1')}, NULL)",
+    "order_delivered_customer_date": f"IF(o_orderstatus = 'F', {BOUGHT} + {days('(o_orderkey * 7) % 17 + 2')}, NULL)",
+    "order_estimated_delivery_date": f"{BOUGHT} + {days('(o_orderkey * 5) % 13 + 3')}",
+}
+ITEM = {
+    "order_id": "CAST(l_orderkey AS STRING)",
+    "order_item_id": "CAST(l_linenumber AS LONG)",
+    "product_id": "CAST(l_partkey AS STRING)",
+    "seller_id": "CAST(l_suppkey AS STRING)",
+    "shipping_limit_date": "CAST(l_shipdate AS TIMESTAMP)",
+    "price": money("l_extendedprice"),
+    "freight_value": money("l_quantity"),
+}
+REVIEW = {
+    "review_id": "concat('R', o_orderkey DIV 2)",
+    "order_id": "CAST(o_orderkey AS STRING)",
+    "review_score": "o_orderkey % 5 + 1",
+    "review_comment_title": f"'{TITLE}'",
+    "review_comment_message": f"IF(o_orderkey % 4 != 0, '{MESSAGE}', NULL)",
+    "review_creation_date": f"{BOUGHT} + {days('(o_orderkey * 7) % 17 + 3')}",
+    "review_answer_timestamp": f"{BOUGHT} + {days('(o_orderkey * 7) % 17 + 5')}",
+}
+PRODUCT = {
+    "product_id": "CAST(p_partkey AS STRING)",
+    "product_category_name": "CASE p_partkey % 10 WHEN 0 THEN '  ' WHEN 1 THEN NULL ELSE p_type END",
+    "product_name_lenght": "IF(p_partkey % 50 = 0, 'bad', CAST(length(p_name) AS STRING))",
+    "product_description_lenght": "CAST(p_size * 10 AS STRING)",
+    "product_photos_qty": "CAST(p_size % 8 + 1 AS LONG)",
+    "product_weight_g": money("p_size * 100"),
+    "product_length_cm": money("p_size"),
+    "product_height_cm": money("p_size"),
+    "product_width_cm": money("p_size"),
+}
+SELLER = {
+    "seller_id": "CAST(s_suppkey AS STRING)",
+    "seller_zip_code_prefix": "lpad(CAST(s_suppkey AS STRING), 5, '0')",
+    "seller_city": "concat(' ', n_name)",
+    "seller_state": "r_name",
+}
+GEOLOCATION = {
+    "geolocation_zip_code_prefix": "lpad(CAST(c_nationkey AS STRING), 5, '0')",
+    "geolocation_city": "concat(n_name, ' ')",
+    "geolocation_state": "r_name",
+    "geolocation_lat": "IF(c_acctbal < 0, 'n/a', concat(c_custkey % 90, '.25'))",
+    "geolocation_lng": "concat('-', c_custkey % 180, '.5')",
+}
+
+
+def expressions(columns: dict[str, str], **changes: str) -> list[str]:
+    return [f"{expr} AS {name}" for name, expr in {**columns, **changes}.items()]
+
+
+def at(text: str) -> str:
+    return f"TIMESTAMP '{text}'"
 
 
 class Shop:
@@ -53,7 +132,7 @@ class Shop:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def raw(self, name: str) -> DataFrame:
         return getattr(self, f"_raw_{name}")()
@@ -71,10 +150,12 @@ class Shop:
             return rows.withColumn("order_status", lower_text(F.col("order_status")))
         if name not in ("customers", "products", "sellers"):
             return rows
-        key = F.col(S.ENTITY[name].keys[0]).cast("long")
-        created = at(CHILD_EPOCH) + days(key % 2000)
-        return rows.withColumns(
-            {"created_at": text(created), "updated_at": text(created + days((key * 7) % 500))}
+        key = f"CAST({S.ENTITY[name].keys[0]} AS LONG)"
+        created = f"{at('1995-01-01 00:00:00')} + {days(f'{key} % 2000')}"
+        return rows.selectExpr(
+            "*",
+            f"CAST({created} AS STRING) AS created_at",
+            f"CAST({created} + {days(f'({key} * 7) % 500')} AS STRING) AS updated_at",
         )
 
     # ---- history
@@ -87,208 +168,117 @@ class Shop:
     def _customers(self) -> DataFrame:
         return self._places(self.table("customer"), "c_nationkey")
 
-    def _customer_columns(self) -> list[Column]:
-        k = F.col("c_custkey")
-        return [
-            text(k).alias("customer_id"),
-            F.concat(F.lit("U"), text(div(k, 2))).alias("customer_unique_id"),
-            F.lpad(text(k), 5, "0").alias("customer_zip_code_prefix"),
-            F.col("n_name").alias("customer_city"),
-            F.concat(F.lit(" "), F.col("r_name"), F.lit(" ")).alias("customer_state"),
-        ]
-
     def _raw_customers(self) -> DataFrame:
-        return self._customers().select(*self._customer_columns())
+        return self._customers().selectExpr(*expressions(CUSTOMER))
 
     def _raw_orders(self) -> DataFrame:
-        k, status = F.col("o_orderkey"), F.col("o_orderstatus")
-        bought = F.col("o_orderdate").cast("timestamp")
-        finished = status == "F"
-        return self.table("orders").select(
-            text(k).alias("order_id"),
-            text(F.col("o_custkey")).alias("customer_id"),
-            F.when(finished, " Delivered ")
-            .when(status == "O", "shipped")
-            .when(k % 2 == 0, "canceled")
-            .otherwise("processing")
-            .alias("order_status"),
-            bought.alias("order_purchase_timestamp"),
-            F.when(status != "P", bought + minutes(k % 116 + 5)).alias("order_approved_at"),
-            F.when(finished, bought + days(k % 3 + 1)).alias("order_delivered_carrier_date"),
-            F.when(finished, bought + days((k * 7) % 17 + 2)).alias("order_delivered_customer_date"),
-            (bought + days((k * 5) % 13 + 3)).alias("order_estimated_delivery_date"),
-        )
+        return self.table("orders").selectExpr(*expressions(ORDER))
 
     def _raw_order_items(self) -> DataFrame:
-        return self.table("lineitem").select(*self._item_columns())
-
-    def _item_columns(self) -> list[Column]:
-        return [
-            text(F.col("l_orderkey")).alias("order_id"),
-            F.col("l_linenumber").cast("long").alias("order_item_id"),
-            text(F.col("l_partkey")).alias("product_id"),
-            text(F.col("l_suppkey")).alias("seller_id"),
-            F.col("l_shipdate").cast("timestamp").alias("shipping_limit_date"),
-            money(F.col("l_extendedprice")).alias("price"),
-            money(F.col("l_quantity")).alias("freight_value"),
-        ]
+        return self.table("lineitem").selectExpr(*expressions(ITEM))
 
     def _raw_payments(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        kind = F.element_at(F.array(*[F.lit(t) for t in ("credit_card", "BOLETO", "voucher", "debit_card")]), (k % 4 + 1).cast("int"))
-        first = F.struct(
-            F.lit(1).cast("long").alias("payment_sequential"),
-            kind.alias("payment_type"),
-            (k % 6 + 1).alias("payment_installments"),
-            money(F.col("o_totalprice")).alias("payment_value"),
-        )
-        second = F.struct(
-            F.lit(2).cast("long").alias("payment_sequential"),
-            F.lit("voucher").alias("payment_type"),
-            F.lit(1).cast("long").alias("payment_installments"),
-            money(k % 50).alias("payment_value"),
+        """One payment per order, a second one for urgent orders, none for small orders."""
+        names = "payment_sequential", "payment_type", "payment_installments", "payment_value"
+        kinds = "element_at(array('credit_card', 'BOLETO', 'voucher', 'debit_card'), CAST(o_orderkey % 4 + 1 AS INT))"
+        first = "1L", kinds, "o_orderkey % 6 + 1", money("o_totalprice")
+        second = "2L", "'voucher'", "1L", money("o_orderkey % 50")
+        one, two = (
+            "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in zip(names, part)) + ")" for part in (first, second)
         )
-        paid = self.table("orders").filter(F.col("o_totalprice") >= UNPAID_BELOW)
-        parts = F.when(F.col("o_orderpriority") == "1-URGENT", F.array(first, second)).otherwise(F.array(first))
-        return paid.select(text(k).alias("order_id"), F.inline(parts))
+        parts = f"inline(IF(o_orderpriority = '1-URGENT', array({one}, {two}), array({one})))"
+        paid = self.table("orders").filter(f"o_totalprice >= {UNPAID_BELOW}")
+        return paid.selectExpr("CAST(o_orderkey AS STRING) AS order_id", parts)
 
     def _raw_reviews(self) -> DataFrame:
-        k, bought = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
-        reviewed = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") != "5-LOW")
-        return self.table("orders").filter(reviewed).select(
-            F.concat(F.lit("R"), text(div(k, 2))).alias("review_id"),
-            text(k).alias("order_id"),
-            (k % 5 + 1).alias("review_score"),
-            F.lit(TITLE).alias("review_comment_title"),
-            F.when(k % 4 != 0, MESSAGE).alias("review_comment_message"),
-            (bought + days((k * 7) % 17 + 3)).alias("review_creation_date"),
-            (bought + days((k * 7) % 17 + 5)).alias("review_answer_timestamp"),
-        )
-
-    def _product_columns(self) -> list[Column]:
-        k, size = F.col("p_partkey"), F.col("p_size")
-        return [
-            text(k).alias("product_id"),
-            F.when(k % 10 == 0, "  ").when(k % 10 != 1, F.col("p_type")).alias("product_category_name"),
-            F.when(k % 50 == 0, "bad").otherwise(text(F.length("p_name"))).alias("product_name_lenght"),
-            text(size * 10).alias("product_description_lenght"),
-            (size % 8 + 1).cast("long").alias("product_photos_qty"),
-            money(size * 100).alias("product_weight_g"),
-            money(size).alias("product_length_cm"),
-            money(size).alias("product_height_cm"),
-            money(size).alias("product_width_cm"),
-        ]
+        reviewed = self.table("orders").filter("o_orderstatus = 'F' AND o_orderpriority != '5-LOW'")
+        return reviewed.selectExpr(*expressions(REVIEW))
 
     def _raw_products(self) -> DataFrame:
-        return self.table("part").select(*self._product_columns())
-
-    def _seller_columns(self) -> list[Column]:
-        return [
-            text(F.col("s_suppkey")).alias("seller_id"),
-            F.lpad(text(F.col("s_suppkey")), 5, "0").alias("seller_zip_code_prefix"),
-            F.concat(F.lit(" "), F.col("n_name")).alias("seller_city"),
-            F.col("r_name").alias("seller_state"),
-        ]
+        return self.table("part").selectExpr(*expressions(PRODUCT))
 
     def _raw_sellers(self) -> DataFrame:
-        return self._places(self.table("supplier"), "s_nationkey").select(*self._seller_columns())
+        return self._places(self.table("supplier"), "s_nationkey").selectExpr(*expressions(SELLER))
 
     def _raw_geolocation(self) -> DataFrame:
-        k = F.col("c_custkey")
-        latitude = F.when(F.col("c_acctbal") < 0, "n/a").otherwise(F.concat(text(k % 90), F.lit(".25")))
-        return self._customers().select(
-            F.lpad(text(F.col("c_nationkey")), 5, "0").alias("geolocation_zip_code_prefix"),
-            F.concat(F.col("n_name"), F.lit(" ")).alias("geolocation_city"),
-            F.col("r_name").alias("geolocation_state"),
-            latitude.alias("geolocation_lat"),
-            F.concat(F.lit("-"), text(k % 180), F.lit(".5")).alias("geolocation_lng"),
-        )
+        return self._customers().selectExpr(*expressions(GEOLOCATION))
 
     # ---- appended versions
 
     def _feed_customers(self) -> DataFrame:
         """The BUILDING segment moved; half of the change times do not parse. An older
         version of well-funded customers arrives in the same batch and must lose."""
-        moved = self._customers().filter(F.col("c_mktsegment") == "BUILDING")
-        base = moved.select("c_custkey", "c_acctbal", *self._customer_columns())
-        base = base.withColumns({"created_at": F.lit("1999-01-01 00:00:00"), "_ingested_at": at(SECOND_FEED)})
-        changed = F.when(F.col("c_custkey") % 2 == 0, "not-a-date").otherwise(FIRST_FEED)
-        newer = base.withColumns({"customer_city": F.lit("moved"), "customer_state": F.lit("SP"), "updated_at": changed})
-        older = base.filter(F.col("c_acctbal") > 5000).withColumns(
-            {"customer_city": F.lit("older"), "updated_at": F.lit("2001-12-01 00:00:00")}
-        )
-        return newer.unionByName(older).drop("c_custkey", "c_acctbal")
+        moved = self._customers().filter("c_mktsegment = 'BUILDING'")
+        arrival = {"created_at": "'1999-01-01 00:00:00'", "_ingested_at": at(SECOND_FEED)}
+        changed = f"IF(c_custkey % 2 = 0, 'not-a-date', '{FIRST_FEED}')"
+        newer = expressions(CUSTOMER, **arrival, customer_city="'moved'", customer_state="'SP'", updated_at=changed)
+        older = expressions(CUSTOMER, **arrival, customer_city="'older'", updated_at="'2001-12-01 00:00:00'")
+        rich = moved.filter("c_acctbal > 5000")
+        return moved.selectExpr(*newer).unionByName(rich.selectExpr(*older))
 
     def _feed_orders(self) -> DataFrame:
         """Urgent and high orders were delivered; the urgent ones were cancelled a day later."""
-        raw = self.table("orders").filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-        k, bought = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
-
-        def version(rows, status, carrier, customer, estimate, arrival):
-            return rows.select(
-                text(k).alias("order_id"),
-                text(F.col("o_custkey")).alias("customer_id"),
-                F.lit(status).alias("order_status"),
-                bought.alias("order_purchase_timestamp"),
-                (bought + minutes(F.lit(30))).alias("order_approved_at"),
-                carrier.cast("timestamp").alias("order_delivered_carrier_date"),
-                customer.cast("timestamp").alias("order_delivered_customer_date"),
-                estimate.alias("order_estimated_delivery_date"),
-                at(arrival).alias("_ingested_at"),
-            )
-
-        first = version(
-            raw,
-            "delivered",
-            bought + days(F.lit(1)),
-            bought + days(F.lit(4)),
-            bought + days((k * 5) % 13 + 3),
-            FIRST_FEED,
+        first = expressions(
+            ORDER,
+            order_status="'delivered'",
+            order_approved_at=f"{BOUGHT} + {minutes('30')}",
+            order_delivered_carrier_date=f"{BOUGHT} + {days('1')}",
+            order_delivered_customer_date=f"{BOUGHT} + {days('4')}",
+            _ingested_at=at(FIRST_FEED),
         )
-        urgent = raw.filter(F.col("o_orderpriority") == "1-URGENT")
-        second = version(urgent, "canceled", F.lit(None), F.lit(None), bought + days(F.lit(5)), SECOND_FEED)
-        return first.unionByName(second)
+        second = expressions(
+            ORDER,
+            order_status="'canceled'",
+            order_approved_at=f"{BOUGHT} + {minutes('30')}",
+            order_delivered_carrier_date="CAST(NULL AS TIMESTAMP)",
+            order_delivered_customer_date="CAST(NULL AS TIMESTAMP)",
+            order_estimated_delivery_date=f"{BOUGHT} + {days('5')}",
+            _ingested_at=at(SECOND_FEED),
+        )
+        orders = self.table("orders")
+        changed = orders.filter("o_orderpriority IN ('1-URGENT', '2-HIGH')").selectExpr(*first)
+        return changed.unionByName(orders.filter("o_orderpriority = '1-URGENT'").selectExpr(*second))
 
     def _feed_order_items(self) -> DataFrame:
-        changed = (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")
-        rows = self.table("lineitem").filter(changed).select(*self._item_columns())
-        return rows.withColumns({"price": (F.col("price") + 1).cast(MONEY), "_ingested_at": at(FIRST_FEED)})
+        changed = self.table("lineitem").filter("l_returnflag = 'A' AND l_linestatus = 'F'")
+        dearer = f"CAST({money('l_extendedprice')} + 1 AS {MONEY.simpleString()})"
+        return changed.selectExpr(*expressions(ITEM, price=dearer, _ingested_at=at(FIRST_FEED)))
 
     def _feed_payments(self) -> DataFrame:
-        rows = self._raw_payments().filter(F.col("payment_type") == "voucher")
+        rows = self._raw_payments().filter("payment_type = 'voucher'")
         value = (F.col("payment_value") + 1).cast(MONEY)
-        return rows.withColumns({"payment_value": value, "_ingested_at": at(FIRST_FEED)})
+        return rows.withColumns({"payment_value": value, "_ingested_at": F.expr(at(FIRST_FEED))})
 
     def _feed_reviews(self) -> DataFrame:
-        rows = self._raw_reviews().filter(F.col("review_score") == 1)
-        return rows.withColumns({"review_score": F.lit(5).cast("long"), "_ingested_at": at(FIRST_FEED)})
+        rows = self._raw_reviews().filter("review_score = 1")
+        return rows.withColumns({"review_score": F.expr("5L"), "_ingested_at": F.expr(at(FIRST_FEED))})
 
     def _feed_products(self) -> DataFrame:
-        rows = self.table("part").filter(F.col("p_size") > 45).select(*self._product_columns())
-        return rows.withColumns({"product_category_name": F.lit("relabelled"), "_ingested_at": at(FIRST_FEED)})
+        large = self.table("part").filter("p_size > 45")
+        return large.selectExpr(
+            *expressions(PRODUCT, product_category_name="'relabelled'", _ingested_at=at(FIRST_FEED))
+        )
 
     def _feed_sellers(self) -> DataFrame:
-        rich = self._places(self.table("supplier"), "s_nationkey").filter(F.col("s_acctbal") > 8000)
-        rows = rich.select(*self._seller_columns())
-        return rows.withColumns({"seller_city": F.lit("moved"), "_ingested_at": at(FIRST_FEED)})
+        rich = self._places(self.table("supplier"), "s_nationkey").filter("s_acctbal > 8000")
+        return rich.selectExpr(*expressions(SELLER, seller_city="'moved'", _ingested_at=at(FIRST_FEED)))
 
     # ---- audit
 
     def audit(self) -> DataFrame:
         """Seven events make one batch; an error event is a failed entity."""
-        k, kind, ts = F.col("event_id"), F.col("event_type"), F.col("ts").cast("timestamp")
-        names = F.array(*[F.lit(e.name) for e in S.ENTITIES])
-        loaded = F.when(kind.isin("error", "signup"), 0).otherwise(F.col("user_id")).cast("long")
-        failed = kind == "error"
-        return self.table("events").select(
-            F.concat(F.lit("B"), F.lpad(text(div(k, 7)), 7, "0")).alias("batch_id"),
-            F.element_at(names, (k % 7 + 1).cast("int")).alias("entity"),
-            ts.alias("started_at"),
-            (ts + minutes(F.col("user_id") % 90)).alias("completed_at"),
-            loaded.alias("records_fetched"),
-            loaded.alias("records_loaded"),
-            (ts - days(F.lit(1))).alias("watermark_before"),
-            F.when(~failed, ts).alias("watermark_after"),
-            F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
-            F.when(failed, F.col("props")).alias("error_message"),
+        entities = ", ".join(f"'{e.name}'" for e in S.ENTITIES)
+        loaded = "IF(event_type IN ('error', 'signup'), 0L, user_id)"
+        started = "CAST(ts AS TIMESTAMP)"
+        return self.table("events").selectExpr(
+            "concat('B', lpad(CAST(event_id DIV 7 AS STRING), 7, '0')) AS batch_id",
+            f"element_at(array({entities}), CAST(event_id % 7 + 1 AS INT)) AS entity",
+            f"{started} AS started_at",
+            f"{started} + {minutes('user_id % 90')} AS completed_at",
+            f"{loaded} AS records_fetched",
+            f"{loaded} AS records_loaded",
+            f"{started} - {days('1')} AS watermark_before",
+            f"IF(event_type != 'error', {started}, NULL) AS watermark_after",
+            "IF(event_type = 'error', 'FAILED', 'SUCCESS') AS status",
+            "IF(event_type = 'error', props, NULL) AS error_message",
         )
