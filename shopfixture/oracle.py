@@ -135,7 +135,7 @@ VIEWS["feed_sellers"] = f"""SELECT {SELLER_COLUMNS}, 'moved' AS seller_city, r_n
 # ---- operational copy: masters with text times
 for _name, _key in (("customers", "customer_id"), ("products", "product_id"), ("sellers", "seller_id")):
     _k = f"CAST({_key} AS BIGINT)"
-    _created = f"(TIMESTAMP '1995-01-01 00:00:00' + {d(f'{_k} % 2000')})"
+    _created = f"(TIMESTAMP '1995-01-01 00:00:00' + {d(f'({_k} * 131) % 2000')})"
     VIEWS[f"op_{_name}"] = f"""SELECT *, CAST({_created} AS VARCHAR) AS created_at,
     CAST({_created} + {d(f'({_k} * 7) % 500')} AS VARCHAR) AS updated_at FROM raw_{_name}"""
 

@@ -449,7 +449,8 @@ def _(m):
 @query(
     "i16_run_with_audit",
     f"""SELECT 'customers' AS entity, COUNT(*) AS records_fetched, COUNT(*) AS records_loaded,
-    TIMESTAMP '{MASTER_MARK}' AS watermark_before, MAX(source_time) AS watermark_after, 'SUCCESS' AS status,
+    TIMESTAMP '{MASTER_MARK}' AS watermark_before,
+    coalesce(MAX(source_time), TIMESTAMP '{MASTER_MARK}') AS watermark_after, 'SUCCESS' AS status,
     CAST(NULL AS VARCHAR) AS error_message FROM new_customers
     UNION ALL SELECT 'products', 0, 0, TIMESTAMP '{MASTER_MARK}', NULL, 'FAILED', 'source is down'""",
 )

@@ -151,7 +151,7 @@ class Shop:
         if name not in ("customers", "products", "sellers"):
             return rows
         key = f"CAST({S.ENTITY[name].keys[0]} AS LONG)"
-        created = f"{at('1995-01-01 00:00:00')} + {days(f'{key} % 2000')}"
+        created = f"{at('1995-01-01 00:00:00')} + {days(f'({key} * 131) % 2000')}"
         return rows.selectExpr(
             "*",
             f"CAST({created} AS STRING) AS created_at",
