@@ -46,8 +46,8 @@ def rfm_scores(customer_orders: DataFrame) -> DataFrame:
     The per-customer base is written once, because finding the bucket borders
     scans it a few times.
     """
-    base, customers = written(rfm_base(customer_orders), "rfm-base")
-    return with_ntiles(rfm_metrics(base), BUCKETS, SCORES, "customer_unique_id", customers)
+    base = written(rfm_base(customer_orders), "rfm-base")
+    return with_ntiles(rfm_metrics(base), BUCKETS, SCORES, "customer_unique_id", base.count())
 
 
 def segment(recency: Column, frequency: Column, monetary: Column) -> Column:

@@ -82,12 +82,11 @@ def materialize_table(df: DataFrame, namespace: str, name: str) -> DataFrame:
     return df.sparkSession.table(f"`{namespace}`.`{name}`")
 
 
-def written(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Cut lineage: write to the shared scratch folder, read back, report the row count.
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage: write to the shared scratch folder and read back.
 
     Survives lost executors, unlike a cached frame, and keeps column pruning.
     """
     path = scratch_path(df.sparkSession, label)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

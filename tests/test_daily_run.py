@@ -25,7 +25,7 @@ def test_a_day_from_ingest_to_gate(spark, layers):
     daily, kpis = (spark.table(f"{layers.marts}.{n}") for n in ("mart_daily_sales", "mart_executive_kpis"))
     first = rows(kpis)
     assert daily.agg({"total_sales": "sum"}).first()[0] == kpis.first()["total_sales"]
-    assert spark.table("stg_orders").count() == m.raw("orders").count()
+    assert spark.table(f"{layers.staging}.stg_orders").count() == m.raw("orders").count()
 
     second = run_day(spark, {e.name: m.operational(e.name) for e in ENTITIES}, layers, "day-2")
     assert all(": 0 of 0" in line for line in second.entities)
