@@ -33,12 +33,16 @@ class DayReport:
 
 
 def run_day(
-    spark: SparkSession, operational: Mapping[str, DataFrame], layers: Layers, batch_id: str | None = None
+    spark: SparkSession,
+    operational: Mapping[str, DataFrame],
+    layers: Layers,
+    batch_id: str | None = None,
+    normalize_keys: bool = False,
 ) -> DayReport:
     """Warnings are reported; a failed check or an unsound batch raises."""
     tune(spark)
     batch_id = run_batch(spark, operational, layers.raw, batch_id)
-    models = build_models(spark, layers)
+    models = build_models(spark, layers, normalize_keys)
     results = run_checks(models, suite()).filter(F.col("status") != "pass").collect()
     failed = [f"{r['model']}.{r['check_name']}: {r['failures']}" for r in results if r["status"] == "fail"]
     if failed:

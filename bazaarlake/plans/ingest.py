@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.operators.incremental import as_time, extract_after, extract_children_after
@@ -15,15 +15,16 @@ from bazaarlake.schemas import ENTITIES, ENTITY, Entity
 from bazaarlake.sources.ingest_log import (
     FAILED,
     MESSAGE_LIMIT,
+    SOURCE_TIME,
     SUCCESS,
+    Appended,
     AuditRecord,
     WatermarkStore,
+    append_batch,
     audit_append,
     new_batch_id,
     utc_now,
-    with_metadata,
 )
-from bazaarlake.sources.tables import append_table
 
 # Fixed value: masters of the historical load are known up to this instant.
 MASTER_CUTOFF = "2018-10-17 23:59:59"
@@ -37,29 +38,20 @@ class Loaded:
 
 
 def extract(entity: Entity, source: Mapping[str, DataFrame], watermark: datetime | None) -> DataFrame:
+    """Rows after the watermark. A child follows its parent's time, which a landed feed
+    carries on the child rows already and an operational copy does not."""
     rows = source[entity.name]
-    if entity.parent is None:
+    if entity.parent is None or entity.watermark_column in rows.columns:
         return extract_after(rows, entity.watermark_column, watermark)
     parent = source[entity.parent]
     return extract_children_after(rows, parent, entity.keys[0], entity.watermark_column, watermark)
 
 
-def append_batch(
-    rows: DataFrame, entity: Entity, namespace: str, batch_id: str, now: datetime
-) -> tuple[int, datetime | None]:
-    """Project to the declared columns, add metadata, append.
-
-    The row count and the highest source time are observed on the rows being
-    written, in the writing stage itself, so the source is read once.
-    """
-    time = as_time(rows, entity.watermark_column).alias("_source_time")
+def append_entity(rows: DataFrame, entity: Entity, namespace: str, batch_id: str | None, now: datetime) -> Appended:
+    """Project to the declared columns and append to the entity's ingest table."""
+    time = as_time(rows, entity.watermark_column).alias(SOURCE_TIME)
     declared = rows.select(*conform(rows, entity.schema), time)
-    seen = Observation()
-    counted = with_metadata(declared, entity.keys, batch_id, now).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.max("_source_time").alias("last")
-    )
-    append_table(counted.drop("_source_time"), namespace, entity.ingest_table)
-    return seen.get["rows"], seen.get["last"]
+    return append_batch(declared, namespace, entity.ingest_table, entity.keys, batch_id, now)
 
 
 def ingest_entity(
@@ -73,11 +65,10 @@ def ingest_entity(
     """The watermark moves only after the append; a batch without rows or without any
     known time leaves it where it was."""
     before = store.get(entity.name)
-    rows, last = append_batch(extract(entity, source, before), entity, namespace, batch_id, now)
-    after = last or before
-    if last is not None:
-        store.save(entity.name, after, utc_now())
-    return Loaded(rows, rows, after)
+    done = append_entity(extract(entity, source, before), entity, namespace, batch_id, now)
+    if done.last is not None:
+        store.save(entity.name, done.last, utc_now())
+    return Loaded(done.rows, done.rows, done.last or before)
 
 
 def run_with_audit(

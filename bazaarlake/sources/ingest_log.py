@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import astuple, dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.functions.expr import record_hash
@@ -16,6 +16,7 @@ from bazaarlake.sources.tables import AUDIT_TABLE, WATERMARK_TABLE, append_table
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 MESSAGE_LIMIT = 1000
+SOURCE_TIME = "_source_time"
 
 
 def utc_now() -> datetime:
@@ -38,6 +39,38 @@ def with_metadata(df: DataFrame, keys: Sequence[str], batch_id: str, ingested_at
     )
 
 
+@dataclass(frozen=True)
+class Appended:
+    """What one append wrote: its batch id, the rows, the highest source time among them."""
+
+    batch_id: str
+    rows: int
+    last: datetime | None
+
+
+def append_batch(
+    df: DataFrame,
+    namespace: str,
+    table: str,
+    keys: Sequence[str],
+    batch_id: str | None = None,
+    now: datetime | None = None,
+) -> Appended:
+    """Append rows with batch metadata; an empty frame adds no row and still has an id.
+
+    The row count and the highest source time, if such a column is carried, are
+    observed on the rows being written, in the writing stage itself, so the source
+    is read once. The carried column is not stored.
+    """
+    batch_id = batch_id or str(uuid.uuid4())
+    stamped = with_metadata(df, keys, batch_id, now or utc_now())
+    last = F.max(SOURCE_TIME) if SOURCE_TIME in df.columns else F.max(F.lit(None).cast("timestamp"))
+    seen = Observation()
+    counted = stamped.observe(seen, F.count(F.lit(1)).alias("rows"), last.alias("last"))
+    append_table(counted.drop(SOURCE_TIME), namespace, table)
+    return Appended(batch_id, seen.get["rows"], seen.get["last"])
+
+
 @dataclass(frozen=True)
 class AuditRecord:
     batch_id: str

@@ -186,7 +186,7 @@ def _(m):
 def _(m):
     raw = workspace(m).raw
     for batch_id in ("one", "two"):
-        ingest.append_batch(m.operational("customers"), ENTITY["customers"], raw, batch_id, CLOCK)
+        ingest_log.append_batch(m.operational("customers"), raw, "_ingest_customers", ["customer_id"], batch_id, CLOCK)
     appended = m.spark.table(f"{raw}._ingest_customers")
     return appended.select("customer_id", "_batch_id", "_ingested_at", "_record_hash")
 

@@ -110,7 +110,7 @@ def test_retry_leaves_staging_unchanged(spark, layers):
     load(spark, layers, source)
     table = f"{layers.raw}._ingest_sellers"
     before = rows(staging.stg_sellers(history, spark.table(table)))
-    ingest.append_batch(source["sellers"], ENTITY["sellers"], layers.raw, "b1", CLOCK)
+    ingest.append_entity(source["sellers"], ENTITY["sellers"], layers.raw, "b1", CLOCK)
     assert spark.table(table).count() == 4
     assert rows(staging.stg_sellers(history, spark.table(table))) == before
 
@@ -128,6 +128,20 @@ def test_failure_is_audited_raised_and_stops_the_batch(spark, layers):
     assert not tables.table_exists(spark, layers.raw, "_ingest_orders")
 
 
+def test_generic_append_makes_an_id_also_for_no_rows(spark, layers):
+    df = spark.createDataFrame([("1", 2)], "k string, n int")
+    done = ingest_log.append_batch(df, layers.raw, "things", ["k", "n"])
+    none = ingest_log.append_batch(df.limit(0), layers.raw, "things", ["k", "n"])
+    assert (done.rows, done.last, none.rows) == (1, None, 0) and done.batch_id != none.batch_id
+    assert rows(spark.table(f"{layers.raw}.things"), "k", "_batch_id") == [("1", done.batch_id)]
+
+
+def test_landed_children_carry_the_parent_time(spark):
+    rows_in = spark.createDataFrame([("1", 1, T1), ("2", 1, T2)], "order_id string, n int, order_purchase_timestamp timestamp")
+    got = ingest.extract(ENTITY["payments"], {"payments": rows_in}, T1)
+    assert rows(got, "order_id") == [("2",)]
+
+
 def test_batch_ids(spark):
     import re
 
