@@ -17,14 +17,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bazaarlake.operators.quality import run_checks
 from bazaarlake.plans.build import build_models
 from bazaarlake.plans.checks import MONITORING, suite, validate_batch
 from bazaarlake.plans.daily_run import run_day
 from bazaarlake.plans.ingest import init_watermarks, run_batch
-from bazaarlake.schemas import ENTITIES, ENTITY, Entity, plus
+from bazaarlake.schemas import ENTITIES, landing_schema
 from bazaarlake.session import tune
 from bazaarlake.sources.csv_files import csv_catalogue, load_catalogue
 from bazaarlake.sources.ingest_log import WatermarkStore
@@ -32,13 +31,6 @@ from bazaarlake.sources.landing import read_landing_pages
 from bazaarlake.sources.tables import Layers, create_layers, source
 
 
-def landing_schema(entity: Entity) -> T.StructType:
-    """The entity's columns, and for a child the time of its parent."""
-    if entity.parent is None:
-        return entity.schema
-    return plus(entity.schema, T.StructType([ENTITY[entity.parent].schema[entity.watermark_column]]))
-
-
 def landed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """One folder of JSON pages per entity."""
     return {e.name: read_landing_pages(spark, f"{folder}/{e.name}", landing_schema(e)) for e in ENTITIES}

@@ -64,7 +64,7 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
 
 def days_between(later: Column, earlier: Column) -> Column:
     """Difference of calendar dates (UTC session); the time of day does not count."""
-    return F.date_diff(F.to_date(later), F.to_date(earlier))
+    return F.date_diff(F.to_date(later), F.to_date(earlier)).cast("long")
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:

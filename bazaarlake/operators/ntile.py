@@ -186,15 +186,15 @@ def with_ntiles(
     keys = {name: _key(order, tie) for name, order in orderings.items()}
     ends = [e for e in bucket_ends(rows, buckets) if e > 0]
     if not ends:
-        return df.withColumns({name: F.lit(1) for name in orderings})
+        return df.withColumns({name: F.lit(1).cast("long") for name in orderings})
     searches = {name: _Search(rows, ends) for name in orderings}
     _narrow(df, keys, searches, max_band, sample_rows)
     picked = _pick(df, keys, searches)
     labels = {}
     for name, key in keys.items():
-        label = F.lit(1)
+        label = F.lit(1).cast("long")
         for end in ends:
-            label = label + (key > _literal(picked[name][end])).cast("int")
+            label = label + (key > _literal(picked[name][end])).cast("long")
         labels[name] = label
     return df.withColumns(labels)
 

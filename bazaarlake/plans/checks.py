@@ -150,9 +150,12 @@ class BatchInvalid(RuntimeError):
 
 
 def validate_batch(monitoring: DataFrame, batch_id: str) -> list[str]:
-    """Raise unless all expected entities of the batch are there and sound; the few
-    judged rows of the one batch come back as report lines, in ingest order."""
-    rows = batch_problems(monitoring, batch_id).orderBy("position").collect()
+    """Raise unless all expected entities of the batch are there and sound; otherwise one
+    report line per entity, in ingest order. Repeated log rows are merged first, so that
+    only one row per expected entity reaches the driver."""
+    judged = batch_problems(monitoring, batch_id).groupBy("position", "entity")
+    merged = judged.agg(*[F.max(c).alias(c) for c in ("status", "records_fetched", "records_loaded", "problem")])
+    rows = merged.orderBy("position").collect()
     if all(row["status"] is None for row in rows):
         raise BatchInvalid(f"no monitoring records for batch {batch_id}")
     problems = [f"{row['entity']}: {row['problem']}" for row in rows if row["problem"]]

@@ -147,3 +147,10 @@ ENTITIES = (
     Entity("reviews", ("review_id", "order_id"), REVIEWS, "review_creation_date"),
 )
 ENTITY = {entity.name: entity for entity in ENTITIES}
+
+
+def landing_schema(entity: Entity) -> T.StructType:
+    """What a landed feed holds: the entity's columns, and for a child its parent's time."""
+    if entity.parent is None:
+        return entity.schema
+    return plus(entity.schema, T.StructType([ENTITY[entity.parent].schema[entity.watermark_column]]))

@@ -31,11 +31,3 @@ def read_landing_pages(
     pages = spark.read.schema(envelope(schema)).option("multiLine", multi_line).json(path)
     end = pages.filter(F.col("count") < limit).agg(F.min("offset")).scalar()
     return pages.filter(F.col("offset") <= F.coalesce(end, F.col("offset"))).select(F.inline("data"))
-
-
-def to_pages(df: DataFrame, position, limit: int = PAGE_SIZE) -> DataFrame:
-    """Envelopes of at most ``limit`` rows from a dense zero-based position column."""
-    offset = (F.floor(position / limit) * limit).cast("long").alias("offset")
-    return df.groupBy(offset).agg(
-        F.count("*").alias("count"), F.collect_list(F.struct(*df.columns)).alias("data")
-    )

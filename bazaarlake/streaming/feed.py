@@ -53,7 +53,8 @@ def stream_ingest(
         batch_id = f"{run_id}-{epoch:08d}"
         started = utc_now()
         seen = Observation()
-        time = as_time(batch, entity.watermark_column)
+        known = entity.watermark_column in batch.columns
+        time = as_time(batch, entity.watermark_column) if known else F.lit(None).cast("timestamp")
         declared = batch.select(*conform(batch, entity.schema), time.alias("_source_time"))
         stamped = with_metadata(declared, entity.keys, batch_id, now or started)
         counted = stamped.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("_source_time").alias("last"))

@@ -286,9 +286,9 @@ VIEWS["rfm_base"] = """SELECT customer_unique_id, MAX(purchased_at) AS last_purc
 VIEWS["rfm_metrics"] = """SELECT *, CAST(analysis_date AS DATE) - CAST(last_purchase_at AS DATE) AS recency
     FROM (SELECT *, MAX(last_purchase_at) OVER () AS analysis_date FROM rfm_base)"""
 VIEWS["rfm_scores"] = """SELECT *,
-    CAST(ntile(5) OVER (ORDER BY recency DESC NULLS LAST, customer_unique_id NULLS FIRST) AS INTEGER) AS recency_score,
-    CAST(ntile(5) OVER (ORDER BY frequency NULLS FIRST, customer_unique_id NULLS FIRST) AS INTEGER) AS frequency_score,
-    CAST(ntile(5) OVER (ORDER BY monetary NULLS FIRST, customer_unique_id NULLS FIRST) AS INTEGER) AS monetary_score
+    ntile(5) OVER (ORDER BY recency DESC NULLS LAST, customer_unique_id NULLS FIRST) AS recency_score,
+    ntile(5) OVER (ORDER BY frequency NULLS FIRST, customer_unique_id NULLS FIRST) AS frequency_score,
+    ntile(5) OVER (ORDER BY monetary NULLS FIRST, customer_unique_id NULLS FIRST) AS monetary_score
     FROM rfm_metrics"""
 VIEWS["rfm"] = """SELECT *, recency_score || '' || frequency_score || '' || monetary_score AS rfm_score,
     CASE WHEN least(recency_score, frequency_score, monetary_score) >= 4 THEN 'Champions'

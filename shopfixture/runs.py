@@ -6,7 +6,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,6 +105,12 @@ def export_csv(m: Models, names, folder: str) -> None:
         writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(f"{folder}/{stems[name]}.csv")
 
 
+def to_pages(df: DataFrame, position: Column, limit: int = landing.PAGE_SIZE) -> DataFrame:
+    """Envelopes of at most ``limit`` rows; the position is unique, dense and starts at zero."""
+    offset = (F.floor(position / limit) * limit).cast("long").alias("offset")
+    return df.groupBy(offset).agg(F.count("*").alias("count"), F.collect_list(F.struct(*df.columns)).alias("data"))
+
+
 def row_counts(m: Models, namespace: str, names) -> DataFrame:
     counted = None
     for name in names:
@@ -174,7 +180,7 @@ def _(m):
 @query("s05_read_landing_pages", "SELECT * FROM raw_orders")
 def _(m):
     path = scratch_path(m.spark, "pages")
-    landing.to_pages(m.raw("orders"), F.col("order_id").cast("long")).write.json(path)
+    to_pages(m.raw("orders"), F.col("order_id").cast("long")).write.json(path)
     return landing.read_landing_pages(m.spark, path, S.ORDERS)
 
 

@@ -2,8 +2,8 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from bazaarlake.__main__ import landing_schema, main
-from bazaarlake.schemas import ENTITIES, RAW_SCHEMAS
+from bazaarlake.__main__ import main
+from bazaarlake.schemas import ENTITIES, RAW_SCHEMAS, landing_schema
 from bazaarlake.session import scratch_path
 from shopfixture.models import Models
 from shopfixture.runs import export_csv

@@ -10,6 +10,7 @@ from bazaarlake.plans import ingest, staging
 from bazaarlake.schemas import ENTITIES, ENTITY
 from bazaarlake.sources import csv_files, ingest_log, landing, tables
 from shopfixture.models import Models
+from shopfixture.runs import to_pages
 
 T1, T2, T3 = datetime(2020, 1, 1), datetime(2020, 1, 2), datetime(2020, 1, 3)
 CLOCK = datetime(2020, 6, 1, tzinfo=timezone.utc)
@@ -203,7 +204,7 @@ def test_catalogues():
 def test_landing_pages_end_at_the_first_short_page(spark, tmp_path):
     df = spark.range(25).selectExpr("CAST(id AS STRING) AS k")
     path = str(tmp_path / "pages")
-    pages = landing.to_pages(df, F.col("k").cast("long"), 10)
+    pages = to_pages(df, F.col("k").cast("long"), 10)
     pages.write.json(path)
     spark.createDataFrame([(40, 1, [("stray",)])], landing.envelope(df.schema)).write.mode("append").json(path)
     got = landing.read_landing_pages(spark, path, df.schema, 10)

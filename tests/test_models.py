@@ -10,8 +10,8 @@ T0 = datetime(2020, 1, 1, 10)
 ENRICHED = (
     "order_id string, customer_id string, customer_unique_id string, customer_city string, customer_state string, "
     "order_status string, purchased_at timestamp, approved_at timestamp, delivered_to_carrier_at timestamp, "
-    "delivered_to_customer_at timestamp, estimated_delivery_at timestamp, delivery_days int, "
-    "estimated_delivery_days int, delivered_late boolean, item_count long, item_value decimal(38,9), "
+    "delivered_to_customer_at timestamp, estimated_delivery_at timestamp, delivery_days long, "
+    "estimated_delivery_days long, delivered_late boolean, item_count long, item_value decimal(38,9), "
     "freight_value decimal(38,9), payment_value decimal(38,9), payment_count long"
 )
 

@@ -95,3 +95,10 @@ def test_gate_names_the_problem(spark, entries, message):
 def test_gate_rejects_an_unknown_batch(spark):
     with pytest.raises(checks.BatchInvalid, match="no monitoring records"):
         checks.validate_batch(audit(spark, *sound()), "b2")
+
+
+def test_gate_merges_repeated_log_rows(spark):
+    entries = sound() + [("orders", 0, 0, "FAILED"), ("orders", 2, 2, "SUCCESS")]
+    with pytest.raises(checks.BatchInvalid, match="orders: not successful"):
+        checks.validate_batch(audit(spark, *entries), "b1")
+    assert len(checks.validate_batch(audit(spark, *sound(), *sound()), "b1")) == 7

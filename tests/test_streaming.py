@@ -4,7 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlake.schemas import ENTITY, ORDERS
+from bazaarlake.schemas import ENTITY, ORDERS, landing_schema
 from bazaarlake.streaming import feed
 
 T1 = datetime(2020, 1, 1)
@@ -69,3 +69,12 @@ def test_retries_drop_and_updates_stay(spark, tmp_path):
     writer.option("checkpointLocation", str(tmp_path / "mark")).trigger(availableNow=True).start().awaitTermination()
     got = spark.read.schema(schema).parquet(target)
     assert rows(got, "customer_id", "updated_at") == [("1", "a"), ("1", "b")]
+
+
+def test_children_stream_with_the_time_of_their_parent(spark, tmp_path):
+    place, target, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    entity, schema = ENTITY["payments"], landing_schema(ENTITY["payments"])
+    spark.createDataFrame([("1", 1, "x", 1, None, T1)], schema).write.json(place)
+    feed.stream_ingest(feed.read_landing(spark, place, schema), entity, target, mark, "a", CLOCK).awaitTermination()
+    assert rows(feed.read_ingested(spark, target, entity), "order_id", "_batch_id") == [("1", "a-00000000")]
+    assert feed.read_stream_audit(spark, target).first()["watermark_after"] == T1
