@@ -28,7 +28,7 @@ from bazaarlake.session import tune
 from bazaarlake.sources.csv_files import csv_catalogue, load_catalogue
 from bazaarlake.sources.ingest_log import WatermarkStore
 from bazaarlake.sources.landing import read_landing_pages
-from bazaarlake.sources.tables import Layers, create_layers, source
+from bazaarlake.sources.tables import Layers, create_append_tables, create_layers, source
 
 
 def landed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -59,6 +59,7 @@ def main(argv: Sequence[str], spark: SparkSession | None = None) -> int:
     args = parse(argv)
     spark = tune(spark or SparkSession.builder.appName("bazaarlake").getOrCreate())
     layers = create_layers(spark, Layers(args.raw, args.staging, args.intermediate, args.marts))
+    create_append_tables(spark, layers.raw)
     if args.step == "load":
         items = csv_catalogue(args.folder, args.prefix, args.suffix)
         for table, count in load_catalogue(spark, items, layers.raw).items():

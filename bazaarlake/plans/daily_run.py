@@ -13,7 +13,7 @@ from bazaarlake.plans.build import build_models
 from bazaarlake.plans.checks import suite, validate_batch
 from bazaarlake.plans.ingest import run_batch
 from bazaarlake.session import tune
-from bazaarlake.sources.tables import Layers
+from bazaarlake.sources.tables import Layers, create_append_tables
 
 
 class ChecksFailed(RuntimeError):
@@ -41,6 +41,7 @@ def run_day(
 ) -> DayReport:
     """Warnings are reported; a failed check or an unsound batch raises."""
     tune(spark)
+    create_append_tables(spark, layers.raw)
     batch_id = run_batch(spark, operational, layers.raw, batch_id)
     models = build_models(spark, layers, normalize_keys)
     results = run_checks(models, suite()).filter(F.col("status") != "pass").collect()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.schemas import ENTITIES, RAW_SCHEMAS
+from bazaarlake.schemas import AUDIT, ENTITIES, RAW_SCHEMAS
 from bazaarlake.session import scratch_path
 
 AUDIT_TABLE = "ingestion_audit"
@@ -70,6 +70,15 @@ def append_table(df: DataFrame, namespace: str, name: str) -> None:
     df.write.mode("append").saveAsTable(f"`{namespace}`.`{name}`")
 
 
+def create_append_tables(spark: SparkSession, namespace: str) -> None:
+    """The audit log and the ingest tables with their declared columns, where missing, so
+    that the models can be built before the first batch."""
+    declared = {entity.ingest_table: entity.ingest_schema for entity in ENTITIES} | {AUDIT_TABLE: AUDIT}
+    for name, schema in declared.items():
+        if not table_exists(spark, namespace, name):
+            append_table(spark.createDataFrame([], schema), namespace, name)
+
+
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
     """A named, lazily evaluated model."""
     df.createOrReplaceTempView(name)

@@ -31,6 +31,9 @@ def test_steps(spark, layers, capsys):
     land(m, pages)
     assert main(["load", "--folder", exports, *names(layers)], spark) == 0
     assert "orders: 1500 rows" in capsys.readouterr().out
+    assert main(["build", "--normalize-keys", *names(layers)], spark) == 0
+    assert spark.table(f"{layers.marts}.fct_orders").count() == 1500
+    assert spark.table(f"{layers.marts}.mart_ingestion_monitoring").count() == 0
     assert main(["ingest", "--folder", pages, "--batch-id", "b1", *names(layers)], spark) == 0
     assert spark.table(f"{layers.raw}._ingest_orders").count() == 900
     assert main(["build", *names(layers)], spark) == 0

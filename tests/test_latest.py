@@ -102,3 +102,16 @@ def test_normalized_keys_let_the_join_reuse_the_window_partitioning(spark):
         assert plan.count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", [e.name for e in S.ENTITIES])
+def test_normalizing_clean_keys_changes_nothing(spark, name):
+    from conftest import SMALL
+    from shopfixture.models import Models
+
+    m = Models(spark, SMALL)
+    make = getattr(staging, f"stg_{name}")
+    plain = make(m.raw(name), m.ingest(name))
+    normalized = make(m.raw(name), m.ingest(name), normalize_keys=True)
+    assert plain.columns == normalized.columns
+    assert rows(plain) == rows(normalized)
