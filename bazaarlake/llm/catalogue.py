@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bazaarlake.llm import quality_rules
+from bazaarlake.llm import quality_rules, substring_dedup
 from bazaarlake.llm.tables import table
 
 
@@ -12,8 +13,40 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op6_substring_dedup": op6_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+OP6_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)
+), windows AS (
+  SELECT doc_id, i, word, n, string_agg(word, ' ') OVER
+    (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS s
+  FROM words
+), firsts AS (
+  SELECT s, min(doc_id) AS first_id FROM windows WHERE i + 13 <= n GROUP BY s
+), flagged AS (
+  SELECT doc_id, i, word, bool_or(coalesce(doc_id > first_id AND i + 13 <= n, false)) OVER
+    (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM windows LEFT JOIN firsts USING (s)
+), kept AS (
+  SELECT doc_id, count(*) AS n_words, count_if(gone) AS n_removed,
+    coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept_text
+  FROM flagged GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_substring_dedup": OP6_SQL,
+}
