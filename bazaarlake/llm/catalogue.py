@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import quality_rules, substring_dedup
+from bazaarlake.llm import decontamination, quality_rules, substring_dedup
 from bazaarlake.llm.tables import table
 
 
@@ -18,9 +18,22 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op9_decontamination": op9_decontamination,
 }
 
 OP6_SQL = r"""
@@ -47,6 +60,38 @@ SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::
 FROM documents LEFT JOIN kept USING (doc_id)
 """
 
+OP9_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), grams AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM item WHERE len(w) > 0)
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n FROM doc
+), runs AS (
+  SELECT doc_id, i, n, size, list(word) OVER
+    (PARTITION BY doc_id, size ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS next
+  FROM words CROSS JOIN (SELECT DISTINCT size FROM grams)
+), hits AS (
+  SELECT DISTINCT doc_id, i, r.size, item_id
+  FROM (SELECT doc_id, i, size, array_to_string(next[1 : size], ' ') AS s FROM runs WHERE i + size <= n) r
+  JOIN grams g ON g.s = r.s AND g.size = r.size
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS j FROM hits) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op9_decontamination": OP9_SQL,
     "op6_substring_dedup": OP6_SQL,
 }
