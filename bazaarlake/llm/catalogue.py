@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontamination, quality_rules, substring_dedup
+from bazaarlake.llm import decontamination, license_scan, quality_rules, substring_dedup
 from bazaarlake.llm.tables import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,11 +35,59 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op6_substring_dedup": op6_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op9_decontamination": op9_decontamination,
 }
 
+TEMPLATES_SQL = ", ".join(
+    f"({number}, '{t.label}', '{t.text}', {t.exact})"
+    for number, t in enumerate(license_scan.PHRASES + license_scan.NOTICES)
+)
+
+OP1_SQL = rf"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n FROM doc
+), grams AS (
+  SELECT doc_id, i, size, string_agg(word, ' ') OVER
+    (PARTITION BY doc_id, size ORDER BY i ROWS BETWEEN CURRENT ROW AND size - 1 FOLLOWING) AS s
+  FROM words CROSS JOIN (VALUES (2), (3)) v(size) WHERE true QUALIFY i + size <= n
+), template AS (
+  SELECT number, label, string_split(t, ' ') AS w, exact, least(3, len(string_split(t, ' '))) AS size
+  FROM (VALUES {TEMPLATES_SQL}) v(number, label, t, exact)
+), place AS (
+  SELECT number, exact, size, p, array_to_string(w[p + 1 : p + size], ' ') AS s
+  FROM (SELECT *, unnest(range(len(w) - size + 1)) AS p FROM template)
+), hit AS (
+  SELECT doc_id, number, exact, p, place.size, i, i - p AS diagonal FROM grams JOIN place USING (s, size)
+), step AS (
+  SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, number ORDER BY diagonal, i)
+    > CASE WHEN exact THEN 0 ELSE 2 END, true)::INT AS apart FROM hit
+), run AS (
+  SELECT *, sum(apart) OVER (PARTITION BY doc_id, number ORDER BY diagonal, i) AS run FROM step
+), span AS (
+  SELECT doc_id, number, run, min(i) AS first_i, count(DISTINCT j) AS n FROM
+    (SELECT doc_id, number, run, i, unnest(range(p, p + size)) AS j FROM run) GROUP BY ALL
+), rated AS (
+  SELECT doc_id, label, exact, first_i, n / len(w) AS share FROM span JOIN template USING (number)
+), found AS (
+  SELECT doc_id, count_if(exact AND share = 1) AS n_base, min(first_i) FILTER (WHERE exact AND share = 1) AS first_word,
+    max(first_i) FILTER (WHERE exact AND share = 1) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact AND share = 1) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE share >= CASE WHEN exact THEN 1 ELSE 0.8 END) AS labels,
+    max(share) AS score
+  FROM rated GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score
+FROM doc LEFT JOIN found USING (doc_id)
+"""
+
 OP6_SQL = r"""
 WITH words AS (
   SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n
@@ -92,6 +144,7 @@ FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 ORACLES: dict[str, str] = {
+    "op1_license_scan": OP1_SQL,
     "op9_decontamination": OP9_SQL,
     "op6_substring_dedup": OP6_SQL,
 }
