@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontamination, license_scan, quality_rules, substring_dedup
+from bazaarlake.llm import decontamination, license_scan, quality_rules, secret_scan, substring_dedup
 from bazaarlake.llm.tables import table
 
 
@@ -22,6 +22,13 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -38,6 +45,7 @@ QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op6_substring_dedup": op6_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op7_secret_scan": op7_secret_scan,
     "op9_decontamination": op9_decontamination,
 }
 
@@ -112,6 +120,37 @@ SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::
 FROM documents LEFT JOIN kept USING (doc_id)
 """
 
+def matches_sql(number: int, rule: secret_scan.Rule) -> str:
+    """Matches of one rule with their places: the pieces between matches give the starts."""
+    pattern = ("(?i)" if rule.any_case else "") + rule.pattern.replace("'", "''")
+    return rf"""
+  SELECT doc_id, {number} AS rule, start, start + length(m) AS "end" FROM (
+    SELECT doc_id, m, g, sum(length(before)) OVER w + coalesce(sum(length(m)) OVER
+      (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{pattern}')) AS m,
+        unnest(regexp_extract_all(text, '{pattern}', {rule.group})) AS g,
+        unnest(regexp_split_to_array(text, '{pattern}')) AS before,
+        unnest(range(len(regexp_split_to_array(text, '{pattern}')))) AS i FROM documents)
+    WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+  ) WHERE m IS NOT NULL AND length(g) >= {rule.least}"""
+
+
+OP7_SQL = rf"""
+WITH span AS ({" UNION ALL ".join(matches_sql(n, r) for n, r in enumerate(secret_scan.RULES))}
+), named AS (
+  SELECT doc_id, rule, start, kind || ':' || start::BIGINT || ':' || "end"::BIGINT AS s
+  FROM span JOIN (VALUES {", ".join(f"({n}, '{r.kind}')" for n, r in enumerate(secret_scan.RULES))}) v(rule, kind) USING (rule)
+), found AS (
+  SELECT doc_id, count_if(rule = 0) AS n_assign, count_if(rule = 1) AS n_access, count_if(rule = 2) AS n_hex,
+    string_agg(s, ',' ORDER BY start, rule) FILTER (WHERE rule < 3) AS base,
+    string_agg(s, ',' ORDER BY start, rule) AS spans
+  FROM named GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN found USING (doc_id)
+"""
+
 OP9_SQL = r"""
 WITH doc AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -144,6 +183,7 @@ FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 ORACLES: dict[str, str] = {
+    "op7_secret_scan": OP7_SQL,
     "op1_license_scan": OP1_SQL,
     "op9_decontamination": OP9_SQL,
     "op6_substring_dedup": OP6_SQL,
