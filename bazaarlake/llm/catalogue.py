@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontamination, license_scan, quality_rules, secret_scan, substring_dedup
+from bazaarlake.llm import decontamination, jaccard_join, license_scan, quality_rules, secret_scan, substring_dedup
 from bazaarlake.llm.tables import table
 
 
@@ -13,6 +13,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_jaccard_join": op4_jaccard_join,
     "op1_license_scan": op1_license_scan,
     "op6_substring_dedup": op6_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
@@ -96,6 +101,33 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
 FROM doc LEFT JOIN found USING (doc_id)
 """
 
+OP4_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n FROM doc
+), shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, i, n, string_agg(word, ' ') OVER
+      (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS s
+    FROM words) WHERE i + 5 <= n OR i = 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), reached AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y
+), least AS (
+  SELECT x, min(y) AS y FROM reached GROUP BY x
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id
+FROM doc d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least ON x = d.doc_id
+"""
+
 OP6_SQL = r"""
 WITH words AS (
   SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n
@@ -186,5 +218,6 @@ ORACLES: dict[str, str] = {
     "op7_secret_scan": OP7_SQL,
     "op1_license_scan": OP1_SQL,
     "op9_decontamination": OP9_SQL,
+    "op4_jaccard_join": OP4_SQL,
     "op6_substring_dedup": OP6_SQL,
 }
