@@ -49,12 +49,12 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in parts of about SLICE_BYTES of text, one row at least."""
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about limit bytes of text, one row at least."""
     _, at = flat(batch.column(column))
     begin = 0
     while begin < batch.num_rows:
-        end = max(begin + 1, int(np.searchsorted(at, at[begin] + SLICE_BYTES, "right")) - 1)
+        end = max(begin + 1, int(np.searchsorted(at, at[begin] + limit, "right")) - 1)
         yield batch.slice(begin, end - begin)
         begin = end
 

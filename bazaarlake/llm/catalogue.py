@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontamination, jaccard_join, license_scan, quality_rules, secret_scan, substring_dedup
-from bazaarlake.llm.tables import table
+from bazaarlake.llm import decontamination, jaccard_join, license_scan, quality_rules, secret_scan, substring_dedup, token_files
+from bazaarlake.llm.tables import scratch, table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    token_files.write_files(table(spark, sf_dir, "documents"), path)
+    return token_files.read_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -46,6 +54,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
     "op4_jaccard_join": op4_jaccard_join,
     "op1_license_scan": op1_license_scan,
     "op6_substring_dedup": op6_substring_dedup,
