@@ -19,6 +19,10 @@ from bazaarlake.llm import bytewords
 #: Pieces whose ids are kept for later texts; beyond that the store starts anew.
 STORE = 500_000
 SLICE_BYTES = 6_000_000
+#: Letters below this code point are left as they are by normalisation.
+PLAIN = 0x250
+#: Where a letter meets a sign, the text is split by both kinds of tokenizer.
+LETTER_SIGN = r"(\p{L})([^\s\p{L}\p{N}\x00])"
 #: White space other than blank and line feed, long runs of it, and the byte used as a mark.
 ODD = (
     r"[\x00\t\r\x0B\x0C\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -40,14 +44,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.white_kept = white_kept
+        # the letters by which byte-level vocabularies write bytes
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
         self.store: dict[str, list[int]] = {}
 
     def ids_of(self, pieces: list[str]) -> list[list[int]]:
         new = [p for p in pieces if p not in self.store]
         if len(self.store) + len(new) > STORE:
             self.store, new = {}, pieces
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
+        other, merge = [], self.tokenizer.model.tokenize
+        for piece in new:
+            word = piece[1:] if self.white_kept and piece[:1] == " " else piece
+            if word.isalpha() and ord(max(word)) < PLAIN and (self.white_kept or word == word.lower()):
+                # one word of plain letters is not normalised or split any more, only merged
+                self.store[piece] = [t.id for t in merge(piece.encode().decode("latin-1").translate(self.letters))]
+            else:
+                other.append(piece)
+        for i in range(0, len(other), 20_000):
+            some = other[i : i + 20_000]
             for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 self.store[piece] = e.ids
         return [self.store[p] for p in pieces]
@@ -59,11 +75,13 @@ class Encoder:
             odd = pc.match_substring_regex(column, ODD)
             marked = pc.replace_substring(pc.replace_substring(column, " ", "\x00 "), "\n", "\x00\n\x00")
             # an odd text is one piece
+            marked = pc.replace_substring_regex(marked, LETTER_SIGN, "\\1\x00\\2")
             marked = pc.if_else(odd, pc.replace_substring(column, "\x00", "\x01"), marked)
             lists = pc.split_pattern(marked, "\x00")
         else:
             odd = None
-            lists = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+            lower = pc.ascii_lower(pc.replace_substring(column, "\n", " "))
+            lists = pc.split_pattern(pc.replace_substring_regex(lower, LETTER_SIGN, r"\1 \2"), " ")
         coded = lists.flatten().dictionary_encode()
         place = coded.indices.to_numpy()
         pieces = coded.dictionary.to_pylist()
