@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontamination, jaccard_join, license_scan, quality_rules, secret_scan, substring_dedup, token_files
+from bazaarlake.llm import decontamination, jaccard_join, license_scan, packing, quality_rules, secret_scan, substring_dedup, token_files
 from bazaarlake.llm.tables import scratch, table
 
 
@@ -41,6 +41,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -60,6 +66,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op7_secret_scan": op7_secret_scan,
+    "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
 }
 
