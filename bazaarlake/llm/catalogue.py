@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontamination, jaccard_join, license_scan, packing, quality_rules, secret_scan, substring_dedup, token_files
+from bazaarlake.llm import decontamination, html_extract, jaccard_join, license_scan, packing, quality_rules, secret_scan, substring_dedup, token_files, url_filter
 from bazaarlake.llm.tables import scratch, table
 
 
@@ -21,6 +21,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(table(spark, sf_dir, "pages"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -59,15 +63,21 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.html_extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_token_files": op2_token_files,
+    "op3_url_filter": op3_url_filter,
     "op4_jaccard_join": op4_jaccard_join,
-    "op1_license_scan": op1_license_scan,
-    "op6_substring_dedup": op6_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_secret_scan": op7_secret_scan,
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
+    "op10_html_extract": op10_html_extract,
 }
 
 TEMPLATES_SQL = ", ".join(
