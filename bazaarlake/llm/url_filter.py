@@ -11,6 +11,7 @@ an empty result; with an empty labelled table the model allows all.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,6 +25,7 @@ from bazaarlake.llm.word_columns import UPPER
 
 BUCKETS = 1 << 14
 SIZES = (3, 4, 5)
+DIGITS = re.compile("[0-9]+")
 STEPS = 400
 RATE = 0.5
 PENALTY = 1e-3
@@ -83,6 +85,9 @@ LABELLED = (
     ("http://blog.racetracks-history.example/de/58", 0),
     ("https://roads-and-trams.example/en/5462", 0),
     ("http://m.freeland-parish.example/en/31", 0),
+    ("https://m.rotation-theatre.example/en/40", 0),
+    ("http://www.thatmagazine.example/de/19.html", 0),
+    ("https://blog.petition-watch.example/fr/8/", 0),
     ("http://www.cheap-pills.example/en/450", 1),
     ("https://cheap-pills-online.example/buy/cheap", 1),
     ("http://pills-cheap24.example/de/88", 1),
@@ -97,6 +102,8 @@ LABELLED = (
     ("https://win-big-prize.example/claim?id=3", 1),
     ("http://adult-xxx-video.example/en/5", 1),
     ("https://xxx-cams.example/live/7", 1),
+    ("http://www.adult-x-pics.example/fr/40/", 1),
+    ("https://adult-films-x.example/en/12", 1),
     ("http://replica-watches-sale.example/shop", 1),
     ("https://cheap-replica.example/buy/watches", 1),
     ("http://payday-loans-fast.example/apply", 1),
@@ -147,9 +154,9 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Colu
 
 
 def buckets(host: str, path: str) -> np.ndarray:
-    """Buckets of the distinct n-grams of host and path; each knows of which part it is."""
+    """Buckets of the distinct n-grams of host and path, a run of digits as one; each knows of which part it is."""
     grams = set()
-    for mark, text in (("h", f"^{host}$"), ("p", f"^{path}$")):
+    for mark, text in (("h", f"^{DIGITS.sub('0', host)}$"), ("p", f"^{DIGITS.sub('0', path)}$")):
         for n in SIZES:
             grams.update(mark + text[i : i + n] for i in range(len(text) - n + 1))
     return np.fromiter((zlib.crc32(g.encode()) % BUCKETS for g in grams), np.int64, len(grams))
