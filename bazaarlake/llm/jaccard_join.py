@@ -306,3 +306,19 @@ def jaccard_join(docs: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> DataF
     return sizes.join(component, F.col("sig") == F.col("of_sig"), "left").select(
         "doc_id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """One document of each component, that which names it, with all its columns; of repeated rows one stays.
+
+    Documents with a null id stay where nothing else names their component.
+    """
+    found = jaccard_join(docs.select("doc_id", "text"), block_shingles).where("component_id <=> doc_id")
+    named = found.where("doc_id is not null").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
+    nameless = found.where("doc_id is null").select("doc_id", "text_key").distinct()
+    kept = named.union(nameless).select(F.col("doc_id").alias("keep_id"), F.col("text_key").alias("keep_key"))
+    # the columns travel in a struct, so that their names can't clash
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.struct(*docs.columns).alias("row"))
+    same = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_key") == F.col("keep_key"))
+    copy = F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy("text_key"))
+    return rows.join(kept, same).withColumn("copy", copy).where(F.col("copy") == 1).select("row.*")

@@ -242,3 +242,31 @@ def secret_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, n_base: int =
         for n, rule in enumerate(rules[:n_base])
     ]
     return with_spans.select("doc_id", *counts, named(base, rules).alias("base_spans"), named(F.col("spans"), rules).alias("spans"))
+
+
+def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
+    """The documents with every span, overlapping ones as one, replaced by a mark; n_chars follows if it is there."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select("doc_id", "text", F.struct(*others, F.lit(1).alias("_")).alias("row"))
+    with_spans = secret_spans(rows, rules, carry=("row",))
+    walk = F.aggregate(
+        "spans",
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(
+                s["start"] >= acc["at"],
+                F.concat(acc["out"], F.substring("text", acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)),
+            )
+            .otherwise(acc["out"])
+            .alias("out"),
+        ),
+    )
+    clean = F.when(
+        F.size("spans") > 0, F.concat(walk["out"], F.substring("text", walk["at"] + 1, F.length("text")))
+    ).otherwise(F.col("text"))
+    columns = [
+        F.col(c) if c in ("doc_id", "text") else F.length("text").cast(kind).alias(c) if c == "n_chars" else F.col("row")[c].alias(c)
+        for c, kind in docs.dtypes
+    ]
+    return with_spans.withColumn("text", clean).select(*columns)
