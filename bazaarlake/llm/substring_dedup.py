@@ -3,7 +3,8 @@
 A count-min sketch goes first. Each task counts its windows in ``DEPTH`` rows of cells that saturate at two; the partial
 sketches are merged cell by cell, and a merged cell says "at most once" or "perhaps twice". Estimates are never
 too low, so a window that any row calls single is single. A second pass sends only the other windows to an exact grouping
-by 96 bits of hash. The sketch is sized by the text and has at most ``MAX_CELLS`` cells a row; a larger text takes its
+by 80 bits of hash. What a task already sees to be later than a document of its own needs no grouping, so of a very common
+window few rows meet. The sketch is sized by the text and has at most ``MAX_CELLS`` cells a row; a larger text takes its
 windows in several rounds, by hash, each with a sketch of its own. So what is broadcast is bounded and nothing is lost.
 
 Defined results: null or empty text has no words and stays empty; a null id neither removes nor loses words; rows with
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +42,27 @@ def plan(docs: DataFrame, max_cells: int) -> tuple[int, int]:
     return min(cells, max_cells).bit_length() - 1, max(1, cells // max_cells)
 
 
+def packed(places: np.ndarray) -> bytes:
+    """Ascending cells of a segment without repeats: low bits as planes, high parts as a row of steps (Elias-Fano)."""
+    n = len(places)
+    low = max(0, (SEGMENT // max(n, 1)).bit_length() - 1)
+    steps = np.zeros((SEGMENT >> low) + n, bool)
+    steps[(places >> low) + np.arange(n)] = True
+    planes = [np.packbits((places >> i & 1).astype(bool)).tobytes() for i in range(low)]
+    return b"".join([np.uint32(n).tobytes(), bytes([low]), *planes, np.packbits(steps).tobytes()])
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    n, low = int(np.frombuffer(raw, np.uint32, 1)[0]), raw[4]
+    size = (n + 7) // 8
+    bits = np.unpackbits(np.frombuffer(raw, np.uint8, offset=5 + low * size), count=(SEGMENT >> low) + n)
+    places = (np.flatnonzero(bits) - np.arange(n)) << low
+    for i in range(low):
+        plane = np.frombuffer(raw, np.uint8, size, 5 + i * size)
+        places |= np.unpackbits(plane, count=n).astype(np.int64) << i
+    return places
+
+
 def cells(key: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (bytewords.mixed(key ^ np.uint64(row + 1)) >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -60,8 +83,6 @@ def sketch(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> dict[i
     per_row = (1 << bits) // SEGMENT
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
-
         def flushed(keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             key = np.concatenate(keys)
             for row in range(DEPTH):
@@ -70,13 +91,12 @@ def sketch(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> dict[i
                 for s in range(per_row):
                     low = cell[edges[s] : edges[s + 1]] - s * SEGMENT
                     if len(low):
-                        seen, twice = np.zeros(SEGMENT, bool), np.zeros(SEGMENT, bool)
-                        seen[low] = True
-                        twice[low[1:][low[1:] == low[:-1]]] = True
-                        blobs = [[pack(np.packbits(x).tobytes())] for x in (seen, twice)]
+                        again = low[1:] == low[:-1]
+                        twice = low[1:][again]
+                        twice = twice[np.concatenate([[True], twice[1:] != twice[:-1]])] if len(twice) else twice
+                        blobs = [pa.array([packed(x)], pa.binary()) for x in (low[np.concatenate([[True], ~again])], twice)]
                         yield pa.record_batch(
-                            [pa.array([row * per_row + s], pa.int32()), *(pa.array(b, pa.binary()) for b in blobs)],
-                            ["segment", "seen", "twice"],
+                            [pa.array([row * per_row + s], pa.int32()), *blobs], ["segment", "seen", "twice"]
                         )
 
         keys: list[np.ndarray] = []
@@ -91,12 +111,13 @@ def sketch(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> dict[i
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by segment; one segment is held at a time."""
-        read, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=1).compress
         now, seen, twice = -1, None, None
 
         def out() -> pa.RecordBatch:
             return pa.record_batch(
-                [pa.array([now], pa.int32()), pa.array([pack(twice.tobytes())], pa.binary())], ["segment", "twice"]
+                [pa.array([now], pa.int32()), pa.array([pack(np.packbits(twice).tobytes())], pa.binary())],
+                ["segment", "twice"],
             )
 
         for batch in batches:
@@ -104,10 +125,11 @@ def sketch(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> dict[i
                 if row["segment"] != now:
                     if now >= 0:
                         yield out()
-                    now, seen, twice = row["segment"], np.zeros(SEGMENT // 8, np.uint8), np.zeros(SEGMENT // 8, np.uint8)
-                more = np.frombuffer(read(row["seen"]), np.uint8)
-                twice |= (seen & more) | np.frombuffer(read(row["twice"]), np.uint8)
-                seen |= more
+                    now, seen, twice = row["segment"], np.zeros(SEGMENT, bool), np.zeros(SEGMENT, bool)
+                more = unpacked(row["seen"])
+                twice[more[seen[more]]] = True
+                twice[unpacked(row["twice"])] = True
+                seen[more] = True
         if now >= 0:
             yield out()
 
@@ -122,7 +144,10 @@ def sketch(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> dict[i
 
 
 def candidates(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> DataFrame:
-    """(high, low, doc_id, tag, pos) of the windows that the sketch calls perhaps repeated."""
+    """(high, low, doc_id, tag, pos, run, sure) of the windows that the sketch calls perhaps repeated.
+
+    Sure: a task has seen the window in a document with a smaller id; run neighbouring ones are one row, dealt out by chance.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(sketch(docs, k, bits, this, rounds))
     per_row = (1 << bits) // SEGMENT
 
@@ -142,21 +167,39 @@ def candidates(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> Da
                 second = np.zeros(len(begin), np.uint64)
                 for j in range(k):
                     second = second * np.uint64(0xD1342543DE82EF95) + hashes[begin + j]
+                second = (bytewords.mixed(second) >> np.uint64(48)).astype(np.uint16)
                 doc = np.searchsorted(w.first, begin, "right") - 1
+                pos = begin - w.first[doc]
+                rank = pc.rank(part.column("doc_id"), tiebreaker="dense").to_numpy()[doc].astype(np.int64)
+                order = np.lexsort((rank, second, key))
+                new = np.ones(len(order), bool)
+                new[1:] = (key[order][1:] != key[order][:-1]) | (second[order][1:] != second[order][:-1])
+                least = rank[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+                sure = np.empty(len(order), bool)
+                sure[order] = rank[order] > least
+                # windows come in the order of documents and places
+                after = np.zeros(len(order), bool)
+                after[1:] = sure[1:] & sure[:-1] & (doc[1:] == doc[:-1]) & (pos[1:] == pos[:-1] + 1)
+                heads = np.flatnonzero(~after)
+                run = np.diff(np.concatenate([heads, [len(order)]]))
+                sure, doc, pos, key, second = sure[heads], doc[heads], pos[heads], key[heads], second[heads]
+                spread = bytewords.mixed(key + pos.astype(np.uint64) + (doc.astype(np.uint64) << np.uint64(32)))
                 yield pa.record_batch(
                     [
-                        pa.array(key.view(np.int64)),
-                        pa.array((bytewords.mixed(second) >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                        pa.array(np.where(sure, spread, key).view(np.int64)),
+                        pa.array(second.view(np.int16)),
                         part.column("doc_id").take(pa.array(doc)),
                         part.column("tag").take(pa.array(doc)),
-                        pa.array((begin - w.first[doc]).astype(np.int32)),
+                        pa.array(pos.astype(np.int32)),
+                        pa.array(run.astype(np.int32)),
+                        pa.array(sure),
                     ],
-                    ["high", "low", "doc_id", "tag", "pos"],
+                    ["high", "low", "doc_id", "tag", "pos", "run", "sure"],
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.where("doc_id is not null").mapInArrow(
-        probed, f"high long, low int, doc_id {kind}, tag short, pos int"
+        probed, f"high long, low short, doc_id {kind}, tag short, pos int, run int, sure boolean"
     )
 
 
@@ -166,16 +209,18 @@ def tagged(docs: DataFrame) -> DataFrame:
 
 
 def later_windows(docs: DataFrame, k: int = K, max_cells: int = MAX_CELLS) -> DataFrame:
-    """(doc_id, tag, pos) of every window whose words also start in a document with a smaller id."""
+    """(doc_id, tag, pos, run): run windows from pos on whose words also start in documents with smaller ids."""
     bits, rounds = plan(docs, max_cells)
     found = candidates(docs, k, bits, 0, rounds)
     for this in range(1, rounds):
         found = found.union(candidates(docs, k, bits, this, rounds))
     # sorted and streamed: no group is held in memory
     first = F.first("doc_id").over(
-        Window.partitionBy("high", "low").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("high", "low", "sure").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return found.withColumn("first_id", first).where("sure or doc_id > first_id").select(
+        "doc_id", "tag", "pos", "run"
     )
-    return found.withColumn("first_id", first).where("doc_id > first_id").select("doc_id", "tag", "pos")
 
 
 def substring_dedup(docs: DataFrame, k: int = K, max_cells: int = MAX_CELLS) -> DataFrame:
@@ -184,7 +229,7 @@ def substring_dedup(docs: DataFrame, k: int = K, max_cells: int = MAX_CELLS) ->
     places = (
         later_windows(rows, k, max_cells)
         .groupBy(F.col("doc_id").alias("cut_id"), F.col("tag").alias("cut_tag"))
-        .agg(F.collect_list("pos").alias("cut"))
+        .agg(F.collect_list(F.struct("pos", "run")).alias("cut"))
     )
     joined = rows.join(
         places, (F.col("doc_id") == F.col("cut_id")) & (F.col("tag") == F.col("cut_tag")), "left"
@@ -199,11 +244,10 @@ def substring_dedup(docs: DataFrame, k: int = K, max_cells: int = MAX_CELLS) ->
                     words = (text.as_py() or b"").split()  # bytes split at the six ASCII white characters
                     n_words.append(len(words))
                     if places.is_valid:
-                        stays = np.ones(len(words), bool)
-                        at = np.asarray(places.values)
-                        for j in range(k):
-                            stays[at + j] = False
-                        words = [words[i] for i in np.flatnonzero(stays)]
+                        begin, run = (np.asarray(places.values.field(i)) for i in range(2))
+                        change = np.bincount(begin, minlength=len(words) + 1)
+                        change -= np.bincount(begin + run + k - 1, minlength=len(words) + 1)
+                        words = [words[i] for i in np.flatnonzero(np.cumsum(change)[:-1] == 0)]
                     n_removed.append(n_words[-1] - len(words))
                     kept.append(b" ".join(words).decode())
                 yield pa.record_batch(
