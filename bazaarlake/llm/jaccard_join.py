@@ -272,7 +272,7 @@ def links(docs: DataFrame, sizes: DataFrame, block_shingles: int = BLOCK_SHINGLE
     # a few sets go into every chunk of their block
     rank = F.row_number().over(Window.partitionBy("block").orderBy(F.xxhash64("sig", F.lit(2))))
     pivots = cut.withColumn("rank", rank).where(F.col("rank") <= PIVOTS).drop("rank")
-    all_chunks = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).cast("long")
+    all_chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1))
     rows = members.union(pivots.withColumn("chunk", all_chunks).select(members.columns))
     first = written(searched(with_text(rows.withColumn("asks", F.lit(True)))))
 
