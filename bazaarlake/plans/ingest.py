@@ -14,7 +14,6 @@ from bazaarlake.operators.latest import conform
 from bazaarlake.schemas import ENTITIES, ENTITY, Entity
 from bazaarlake.sources.ingest_log import (
     FAILED,
-    MESSAGE_LIMIT,
     SOURCE_TIME,
     SUCCESS,
     Appended,
@@ -61,10 +60,11 @@ def ingest_entity(
     store: WatermarkStore,
     batch_id: str,
     now: datetime,
+    marks: Mapping[str, datetime] | None = None,
 ) -> Loaded:
     """The watermark moves only after the append; a batch without rows or without any
-    known time leaves it where it was."""
-    before = store.get(entity.name)
+    known time leaves it where it was. ``marks`` is the map if it is already loaded."""
+    before = (store.as_dict() if marks is None else marks).get(entity.name)
     done = append_entity(extract(entity, source, before), entity, namespace, batch_id, now)
     if done.last is not None:
         store.save(entity.name, done.last, utc_now())
@@ -80,7 +80,11 @@ def run_with_audit(
     work: Callable[[], Loaded],
     clock: Callable[[], datetime] = utc_now,
 ) -> Loaded:
-    """One audit row for success or failure; a failure is re-raised."""
+    """One audit row for success or failure; a failure is re-raised with its whole text.
+
+    If an audit row can't be written either, the first error is raised and the second
+    one noted on it. A success that can't be recorded counts as a failure.
+    """
     started = clock()
 
     def record(result: Loaded, status: str, error: str | None = None) -> AuditRecord:
@@ -90,11 +94,13 @@ def run_with_audit(
 
     try:
         result = work()
+        audit_append(spark, namespace, record(result, SUCCESS))
     except Exception as failure:
-        error = str(failure)[:MESSAGE_LIMIT]
-        audit_append(spark, namespace, record(Loaded(0, 0, None), FAILED, error))
+        try:
+            audit_append(spark, namespace, record(Loaded(0, 0, None), FAILED, str(failure)))
+        except Exception as second:
+            failure.add_note(f"the audit row of {entity} could not be written: {second}")
         raise
-    audit_append(spark, namespace, record(result, SUCCESS))
     return result
 
 
@@ -109,14 +115,15 @@ def run_batch(
     """All entities in their fixed order; the first failure stops the batch."""
     batch_id = batch_id or new_batch_id(clock())
     store = WatermarkStore(spark, namespace)
+    marks = store.as_dict()
     for entity in entities:
         run_with_audit(
             spark,
             namespace,
             batch_id,
             entity.name,
-            store.get(entity.name),
-            lambda entity=entity: ingest_entity(entity, source, namespace, store, batch_id, clock()),
+            marks.get(entity.name),
+            lambda entity=entity: ingest_entity(entity, source, namespace, store, batch_id, clock(), marks),
             clock,
         )
     return batch_id

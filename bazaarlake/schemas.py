@@ -96,7 +96,7 @@ AUDIT = T.StructType(
         T.StructField("error_message", STRING),
     ]
 )
-WATERMARKS = _struct(entity=STRING, watermark=TIME, saved_at=TIME)
+WATERMARKS = _struct(entity=STRING, watermark=TIME, saved_at=TIME, sequence=LONG)
 
 RAW_SCHEMAS = {
     "customers": CUSTOMERS,

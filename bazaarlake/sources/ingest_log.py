@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from bazaarlake.functions.expr import record_hash
 from bazaarlake.schemas import AUDIT, WATERMARKS
-from bazaarlake.sources.tables import AUDIT_TABLE, WATERMARK_TABLE, append_table, table_exists
+from bazaarlake.sources.tables import AUDIT_TABLE, WATERMARK_TABLE, append_table, overwrite_table, table_exists
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
-MESSAGE_LIMIT = 1000
 SOURCE_TIME = "_source_time"
 
 
@@ -91,30 +90,46 @@ def audit_append(spark: SparkSession, namespace: str, record: AuditRecord) -> No
 
 @dataclass(frozen=True)
 class WatermarkStore:
-    """Append-only map of entity to watermark; the row saved last counts.
+    """Append-only map of entity to watermark; the highest sequence number counts.
 
-    An append either lands or does not, so a crash never leaves half a map.
+    An append either lands or does not, so a crash never leaves half a map. The
+    sequence follows the log itself, so a clock that is set back revives nothing.
+    ``compact`` shortens the log to the map.
     """
 
     spark: SparkSession
     namespace: str
 
+    def _log(self) -> DataFrame:
+        if not table_exists(self.spark, self.namespace, WATERMARK_TABLE):
+            return self.spark.createDataFrame([], WATERMARKS)
+        return self.spark.table(f"`{self.namespace}`.`{WATERMARK_TABLE}`")
+
     def load(self) -> DataFrame:
         """(entity, watermark); empty when nothing was saved yet."""
-        if not table_exists(self.spark, self.namespace, WATERMARK_TABLE):
-            return self.spark.createDataFrame([], WATERMARKS).select("entity", "watermark")
-        log = self.spark.table(f"`{self.namespace}`.`{WATERMARK_TABLE}`")
-        return log.groupBy("entity").agg(F.max_by("watermark", "saved_at").alias("watermark"))
+        return self._log().groupBy("entity").agg(F.max_by("watermark", "sequence").alias("watermark"))
+
+    def as_dict(self) -> dict[str, datetime]:
+        """The whole map in one job: one row per entity."""
+        return {row["entity"]: row["watermark"] for row in self.load().collect()}
 
     def get(self, entity: str) -> datetime | None:
-        row = self.load().filter(F.col("entity") == entity).first()
-        return row["watermark"] if row else None
+        return self.as_dict().get(entity)
 
     def save(self, entity: str, watermark: datetime | None, saved_at: datetime | None = None) -> None:
         self.save_all([(entity, watermark)], saved_at)
 
     def save_all(self, marks: Sequence[tuple], saved_at: datetime | None = None) -> None:
         saved_at = saved_at or utc_now()
-        rows = [(entity, mark, saved_at) for entity, mark in marks if mark is not None]
-        if rows:
+        known = [(entity, mark) for entity, mark in marks if mark is not None]
+        if known:
+            last = self._log().agg(F.max("sequence")).first()[0] or 0
+            rows = [(entity, mark, saved_at, last + i) for i, (entity, mark) in enumerate(known, 1)]
             append_table(self.spark.createDataFrame(rows, WATERMARKS), self.namespace, WATERMARK_TABLE)
+
+    def compact(self) -> None:
+        """Keep the row of each entity that counts; the log is read before it is replaced."""
+        newest = F.max_by(F.struct("watermark", "saved_at", "sequence"), "sequence").alias("row")
+        kept = self._log().groupBy("entity").agg(newest).select("entity", "row.*").collect()  # a row per entity
+        rows = self.spark.createDataFrame([tuple(row) for row in kept], WATERMARKS)
+        overwrite_table(rows, self.namespace, WATERMARK_TABLE)

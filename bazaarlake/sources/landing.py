@@ -1,4 +1,4 @@
-"""Pages of a paged feed, landed as JSON envelopes ``{offset, count, data: [...]}``."""
+"""Pages of a paged feed, landed as JSON envelopes ``{count, data: [...]}``."""
 
 from __future__ import annotations
 
@@ -10,24 +10,25 @@ PAGE_SIZE = 1000
 
 
 def envelope(schema: T.StructType) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("offset", T.LongType()),
-            T.StructField("count", T.LongType()),
-            T.StructField("data", T.ArrayType(schema)),
-        ]
-    )
-
-
-def read_landing_pages(
-    spark: SparkSession, path: str, schema: T.StructType, limit: int = PAGE_SIZE, multi_line: bool = False
-) -> DataFrame:
-    """All records of the pages up to the first empty or short one.
-
-    The end is found from the page headers alone (``data`` is pruned from that
-    pass). One envelope per line keeps files splittable; pretty-printed files
-    need ``multi_line``.
+    return T.StructType([T.StructField("count", T.LongType()), T.StructField("data", T.ArrayType(schema))])
+
+
+def read_landing_pages(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """All records of all pages, whatever their sizes and from however many fetch runs.
+
+    A short page ends a fetch, it does not make other pages void. Text that is not
+    JSON, a page without ``data`` and a ``count`` that differs from the records there
+    are errors; a page may leave ``count`` out, and further fields are ignored. A value
+    that doesn't fit its column is NULL. One envelope per line keeps files splittable;
+    pretty-printed files need ``multi_line``.
     """
-    pages = spark.read.schema(envelope(schema)).option("multiLine", multi_line).json(path)
-    end = pages.filter(F.col("count") < limit).agg(F.min("offset")).scalar()
-    return pages.filter(F.col("offset") <= F.coalesce(end, F.col("offset"))).select(F.inline("data"))
+    reader = spark.read.schema(envelope(schema)).option("multiLine", multi_line)
+    # torn text is read as a page without anything
+    found = F.coalesce(F.size("data"), F.lit(-1))
+    wrong = F.concat(
+        F.lit("landed page with count "), F.coalesce(F.col("count").cast("string"), F.lit("absent")),
+        F.lit(" and records "), found.cast("string"),
+    )
+    sound = (found >= 0) & (F.coalesce("count", found) == found)
+    records = F.when(sound, F.col("data")).otherwise(F.raise_error(wrong).cast(T.ArrayType(schema)))
+    return reader.json(path).select(F.inline(records))

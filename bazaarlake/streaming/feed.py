@@ -5,15 +5,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from bazaarlake.operators.incremental import as_time
 from bazaarlake.operators.latest import conform
-from bazaarlake.schemas import AUDIT, Entity
-from bazaarlake.sources.ingest_log import SUCCESS, AuditRecord, utc_now, with_metadata
+from bazaarlake.schemas import Entity
+from bazaarlake.sources.ingest_log import (
+    FAILED,
+    SOURCE_TIME,
+    SUCCESS,
+    AuditRecord,
+    append_batch,
+    audit_append,
+    utc_now,
+)
+from bazaarlake.sources.tables import AUDIT_TABLE, table_exists
 
 EPOCH_COLUMN = "_epoch"
 
@@ -28,44 +37,73 @@ def use_disk_state(spark: SparkSession) -> None:
 def read_landing(
     spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
+    """Landed JSON rows as a stream. Text that is not JSON is read as a row without any value;
+    such a row fails the query, so that its file is read again."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    empty = F.coalesce(*[F.col(name).cast("string") for name in schema.names]).isNull()
+    return reader.json(path).filter(
+        F.when(empty, F.raise_error(F.lit("landed text is not a record")).cast("boolean")).otherwise(True)
+    )
 
 
 def stream_ingest(
     rows: DataFrame,
     entity: Entity,
-    target: str,
+    namespace: str,
     checkpoint: str,
-    run_id: str,
+    stream_id: str,
     now: datetime | None = None,
 ) -> StreamingQuery:
-    """Append all landed rows not seen before, then stop.
+    """Append all landed rows not seen before to the entity's ingest table, then stop.
 
     The checkpoint replaces the watermark: it records files, so a row with an old
-    source time is still ingested. Every epoch owns one ``_batch_id`` folder and
-    overwrites it, so a replayed epoch replaces its rows and its audit row.
+    source time is still ingested. A batch is named by the stream, which keeps its name
+    through restarts, and by the epoch. An epoch that comes again after a failure
+    finds its rows stored, or not, and adds only what is missing: rows, audit row.
+    A failed attempt has an audit row of its own name, the batch id and the time.
     """
 
+    def stored(spark: SparkSession, table: str, column: str, batch_id: str) -> DataFrame:
+        return spark.table(f"`{namespace}`.`{table}`").where(F.col(column) == batch_id)
+
     def append(batch: DataFrame, epoch: int) -> None:
-        batch_id = f"{run_id}-{epoch:08d}"
+        spark = batch.sparkSession
+        batch_id = f"{stream_id}-{epoch:08d}"
         started = utc_now()
-        seen = Observation()
-        known = entity.watermark_column in batch.columns
-        time = as_time(batch, entity.watermark_column) if known else F.lit(None).cast("timestamp")
-        declared = batch.select(*conform(batch, entity.schema), time.alias("_source_time"))
-        stamped = with_metadata(declared, entity.keys, batch_id, now or started)
-        counted = stamped.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("_source_time").alias("last"))
-        out = counted.drop("_batch_id", "_source_time").write.mode("overwrite")
-        out.parquet(f"{target}/{entity.name}/_batch_id={batch_id}")
-        found = seen.get
-        record = AuditRecord(
-            batch_id, entity.name, started, utc_now(), found["rows"], found["rows"], None, found["last"], SUCCESS
-        )
-        log = batch.sparkSession.createDataFrame([tuple(vars(record).values())], AUDIT)
-        log.drop("batch_id").write.mode("overwrite").parquet(f"{target}/audit/batch_id={batch_id}")
+
+        def record(name: str, n: int, last: datetime | None, status: str, error: str | None = None) -> None:
+            times = (started, utc_now())
+            audit_append(spark, namespace, AuditRecord(name, entity.name, *times, n, n, None, last, status, error))
+
+        try:
+            if table_exists(spark, namespace, entity.ingest_table):
+                there = stored(spark, entity.ingest_table, "_batch_id", batch_id)
+            else:
+                there = spark.createDataFrame([], entity.ingest_schema)
+            known = entity.watermark_column in batch.columns
+            time = as_time(batch, entity.watermark_column) if known else F.lit(None).cast("timestamp")
+            if there.isEmpty():
+                declared = batch.select(*conform(batch, entity.schema), time.alias(SOURCE_TIME))
+                done = append_batch(declared, namespace, entity.ingest_table, entity.keys, batch_id, now or started)
+                n, last = done.rows, done.last
+            else:
+                n, last = batch.agg(F.count("*"), F.max(time)).first()
+            audited = table_exists(spark, namespace, AUDIT_TABLE)
+            if not audited or stored(spark, AUDIT_TABLE, "batch_id", batch_id).where(f"entity = '{entity.name}'").isEmpty():
+                record(batch_id, n, last, SUCCESS)
+        except Exception as failure:
+            try:
+                record(f"{batch_id}.{started:%Y%m%dT%H%M%S%f}", 0, None, FAILED, str(failure))
+            except Exception as second:
+                failure.add_note(f"the audit row of {entity.name} could not be written: {second}")
+            raise
+        finally:
+            # epochs run in a session of their own; the caller's must not go on with old file lists
+            for table in (entity.ingest_table, AUDIT_TABLE):
+                if table_exists(rows.sparkSession, namespace, table):
+                    rows.sparkSession.catalog.refreshTable(f"`{namespace}`.`{table}`")
 
     return (
         rows.writeStream.foreachBatch(append)
@@ -75,18 +113,11 @@ def stream_ingest(
     )
 
 
-def read_ingested(spark: SparkSession, target: str, entity: Entity) -> DataFrame:
-    """The ingest table that ``stream_ingest`` wrote, with its batch ids as text."""
-    return spark.read.schema(entity.ingest_schema).parquet(f"{target}/{entity.name}")
-
-
-def read_stream_audit(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(AUDIT).parquet(f"{target}/audit")
-
-
 def stream_latest_per_key(rows: DataFrame, keys: Sequence[str], version: Sequence[Column]) -> DataFrame:
     """Running latest row per key, for update mode. Ties go to the remaining columns in
-    descending order, as in the batch operator; state holds one row per key."""
+    descending order, as in the batch operator; state holds one row per key, on disk: this
+    sets the state store of the session."""
+    use_disk_state(rows.sparkSession)
     rest = [c for c in rows.columns if c not in keys]
     order = [value.alias(f"_version{i}") for i, value in enumerate(version)]
     latest = F.max(F.struct(*order, *rest)).alias("latest")
@@ -108,6 +139,14 @@ def write_updates(updates: DataFrame, target: str, checkpoint: str) -> Streaming
     )
 
 
+def compact_updates(spark: SparkSession, target: str, keys: Sequence[str], schema: T.StructType, place: str) -> DataFrame:
+    """Write the state after the last epoch as a log of one epoch to a new place, which
+    ``read_updates`` reads as well. Run it between queries, then go on from there."""
+    last = spark.read.parquet(target).agg(F.max(EPOCH_COLUMN)).first()[0]
+    read_updates(spark, target, keys, schema).write.parquet(f"{place}/{EPOCH_COLUMN}={last}")
+    return read_updates(spark, place, keys, schema)
+
+
 def read_updates(spark: SparkSession, target: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
     """The state after the last epoch: per key the row of its highest epoch."""
     full = T.StructType([*schema.fields, T.StructField(EPOCH_COLUMN, T.LongType())])
@@ -117,11 +156,13 @@ def read_updates(spark: SparkSession, target: str, keys: Sequence[str], schema:
     return newest.select(*keys, *[F.col(f"row.{c}").alias(c) for c in rest])
 
 
-def stream_retry_dedup(rows: DataFrame, version: str, delay: str = "7 days") -> DataFrame:
-    """Drop retried appends of the same record version.
+def stream_retry_dedup(rows: DataFrame, version: str) -> DataFrame:
+    """Drop retried appends of the same record version, however late they come.
 
     The hash names the record and ``version`` its source time, so an update with a
-    new source time stays. Event time is the arrival time, which never runs
-    backwards, hence no row is too late; state is kept for ``delay``.
+    new source time stays, and so does a record that arrives late. There is no event-time
+    watermark, hence the keys are kept for good, on disk: this sets the state
+    store of the session.
     """
-    return rows.withWatermark("_ingested_at", delay).dropDuplicatesWithinWatermark(["_record_hash", version])
+    use_disk_state(rows.sparkSession)
+    return rows.dropDuplicates(["_record_hash", version])

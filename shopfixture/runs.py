@@ -106,9 +106,10 @@ def export_csv(m: Models, names, folder: str) -> None:
 
 
 def to_pages(df: DataFrame, position: Column, limit: int = landing.PAGE_SIZE) -> DataFrame:
-    """Envelopes of at most ``limit`` rows; the position is unique, dense and starts at zero."""
-    offset = (F.floor(position / limit) * limit).cast("long").alias("offset")
-    return df.groupBy(offset).agg(F.count("*").alias("count"), F.collect_list(F.struct(*df.columns)).alias("data"))
+    """Envelopes of at most ``limit`` rows; the position is unique and not below zero."""
+    page = F.floor(position / limit).alias("page")
+    pages = df.groupBy(page).agg(F.count("*").alias("count"), F.collect_list(F.struct(*df.columns)).alias("data"))
+    return pages.drop("page")
 
 
 def row_counts(m: Models, namespace: str, names) -> DataFrame:
@@ -179,8 +180,12 @@ def _(m):
 
 @query("s05_read_landing_pages", "SELECT * FROM raw_orders")
 def _(m):
+    """Three fetch runs in one folder, with pages of 1000, 100 and 700 rows, short ones among them."""
     path = scratch_path(m.spark, "pages")
-    to_pages(m.raw("orders"), F.col("order_id").cast("long")).write.json(path)
+    number = F.col("order_id").cast("long")
+    for part, limit in enumerate((1000, 100, 700)):
+        rows = m.raw("orders").filter(F.pmod(number, F.lit(3)) == part)
+        to_pages(rows, number, limit).write.mode("append").json(path)
     return landing.read_landing_pages(m.spark, path, S.ORDERS)
 
 
@@ -674,20 +679,58 @@ def _(m):
 # ---------------------------------------------------------------- streaming
 
 
+class Torn(Exception):
+    pass
+
+
+def torn_ingest(m: Models, rows: DataFrame, raw: str, checkpoint: str, stream_id: str) -> None:
+    """A run whose audit write fails after the rows are stored, so that its epoch comes again."""
+    whole = feed.audit_append
+
+    def fail(*_):
+        raise Torn
+
+    feed.audit_append = fail
+    try:
+        feed.stream_ingest(rows, ENTITY["orders"], raw, checkpoint, stream_id, CLOCK).awaitTermination()
+    except Exception as error:
+        if "Torn" not in str(error):
+            raise
+    finally:
+        feed.audit_append = whole
+
+
+def streamed_orders(m: Models) -> str:
+    """Two waves land; the second holds rows older than the newest of the first, and its epoch comes twice."""
+    place, mark, raw = scratch_path(m.spark, "landing"), scratch_path(m.spark, "mark"), workspace(m).raw
+    orders, shipped = m.operational("orders"), F.col("order_status") == "shipped"
+    tables.create_append_tables(m.spark, raw)
+    for wave in (orders.filter(~shipped), orders.filter(shipped)):
+        wave.write.mode("append").json(place)
+        rows = feed.read_landing(m.spark, place, S.ORDERS)
+        torn_ingest(m, rows, raw, mark, "orders")
+        feed.stream_ingest(rows, ENTITY["orders"], raw, mark, "orders", CLOCK).awaitTermination()
+    return raw
+
+
 @query(
     "x01_stream_ingest",
-    f"""SELECT *, if(order_status = 'shipped', 'second-00000001', 'first-00000000') AS _batch_id,
+    f"""SELECT *, if(order_status = 'shipped', 'orders-00000001', 'orders-00000000') AS _batch_id,
     {NOW_SQL} AS _ingested_at, {hash_sql('order_id')} AS _record_hash FROM op_orders""",
 )
 def _(m):
-    """Two waves land; the second holds rows older than the newest of the first."""
-    place, target = scratch_path(m.spark, "landing"), scratch_path(m.spark, "stream")
-    orders, shipped = m.operational("orders"), F.col("order_status") == "shipped"
-    for run_id, wave in (("first", orders.filter(~shipped)), ("second", orders.filter(shipped))):
-        wave.write.mode("append").json(place)
-        rows = feed.read_landing(m.spark, place, S.ORDERS)
-        feed.stream_ingest(rows, ENTITY["orders"], target, f"{target}/checkpoint", run_id, CLOCK).awaitTermination()
-    return feed.read_ingested(m.spark, target, ENTITY["orders"])
+    return tables.source(m.spark, streamed_orders(m), "_ingest_orders")
+
+
+@query(
+    "x01_stream_audit",
+    """SELECT if(order_status = 'shipped', 'orders-00000001', 'orders-00000000') AS batch_id, 'orders' AS entity,
+    COUNT(*) AS records_fetched, COUNT(*) AS records_loaded, MAX(order_purchase_timestamp) AS watermark_after,
+    'SUCCESS' AS status FROM op_orders GROUP BY ALL""",
+)
+def _(m):
+    audit = tables.source(m.spark, streamed_orders(m), tables.AUDIT_TABLE)
+    return audit.select("batch_id", "entity", "records_fetched", "records_loaded", "watermark_after", "status")
 
 
 @query("x02_stream_latest_per_key", "SELECT * FROM latest_orders")
@@ -711,20 +754,22 @@ def _(m):
     f"""SELECT customer_id, customer_city, updated_at, {hash_sql('customer_id')} AS _record_hash FROM feed_customers""",
 )
 def _(m):
-    """The whole feed lands twice, the second time as a retry an hour later."""
+    """The feed lands in waves: half of it, a record arriving 30 days behind, then all as a retry 30 days later."""
     place, target = scratch_path(m.spark, "landing"), scratch_path(m.spark, "stream")
     batch = m.ingest("customers")
-    retry = batch.withColumns(
-        {"_batch_id": F.lit("retry"), "_ingested_at": F.col("_ingested_at") + F.make_dt_interval(F.lit(0), F.lit(1))}
-    )
+    early = F.pmod(F.xxhash64("customer_id"), F.lit(2)) == 0
+
+    def at(df: DataFrame, name: str, days: int) -> DataFrame:
+        return df.withColumns({"_batch_id": F.lit(name), "_ingested_at": F.col("_ingested_at") + F.make_dt_interval(F.lit(days))})
+
     schema = ENTITY["customers"].ingest_schema
-    for wave in (batch, retry):
+    for wave in (batch.filter(early), at(batch.filter(~early), "late", -30), at(batch, "retry", 30)):
         wave.select(*schema.names).write.mode("append").json(place)
-    feed.use_disk_state(m.spark)
-    rows = feed.stream_retry_dedup(feed.read_landing(m.spark, place, schema), "updated_at")
-    kept = rows.select("customer_id", "customer_city", "updated_at", "_record_hash")
-    writer = kept.writeStream.format("parquet").option("path", target)
-    writer.option("checkpointLocation", f"{target}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+        rows = feed.stream_retry_dedup(feed.read_landing(m.spark, place, schema), "updated_at")
+        kept = rows.select("customer_id", "customer_city", "updated_at", "_record_hash")
+        writer = kept.writeStream.format("parquet").option("path", target)
+        writer = writer.option("checkpointLocation", f"{target}-checkpoint").trigger(availableNow=True)
+        writer.start().awaitTermination()
     return m.spark.read.schema(kept.schema).parquet(target)
 
 

@@ -6,9 +6,10 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from shopfixture import catalogue
 from tools.compare import compare, connect
 
-QUERIES = entry.queries()
+QUERIES = catalogue.QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(QUERIES)
+    assert set(catalogue.ORACLES) == set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):

@@ -14,14 +14,15 @@ def names(layers):
 
 
 def land(m, folder):
-    """One page per entity; children carry their parent's purchase time."""
+    """Pages of at most 250 records per entity; children carry their parent's purchase time."""
     times = m.operational("orders").select("order_id", "order_purchase_timestamp")
     for entity in ENTITIES:
         rows = m.operational(entity.name)
         rows = rows.join(times, "order_id") if entity.parent else rows
-        page = rows.limit(900).select(*[F.col(c) for c in landing_schema(entity).names])
-        page = page.agg(F.collect_list(F.struct("*")).alias("data"))
-        page.select(F.lit(0).alias("offset"), F.size("data").alias("count"), "data").write.json(f"{folder}/{entity.name}")
+        picked = rows.limit(900).select(*[F.col(c) for c in landing_schema(entity).names])
+        numbered = picked.select(F.floor(F.monotonically_increasing_id() / 250).alias("page"), F.struct("*").alias("row"))
+        page = numbered.groupBy("page").agg(F.count("*").alias("count"), F.collect_list("row").alias("data"))
+        page.select("count", "data").write.json(f"{folder}/{entity.name}")
 
 
 def test_steps(spark, layers, capsys):

@@ -1,11 +1,16 @@
 from datetime import datetime, timedelta, timezone
 
-from conftest import rows
+import pytest
+from conftest import SMALL, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlake.schemas import ENTITY, ORDERS, landing_schema
+from bazaarlake.plans.build import build_models
+from bazaarlake.plans.checks import MONITORING, validate_batch
+from bazaarlake.schemas import ENTITIES, ENTITY, ORDERS, RAW_SCHEMAS, landing_schema
+from bazaarlake.sources import tables
 from bazaarlake.streaming import feed
+from shopfixture.models import Models
 
 T1 = datetime(2020, 1, 1)
 CLOCK = datetime(2020, 6, 1, tzinfo=timezone.utc)
@@ -16,32 +21,81 @@ def land(spark, path, *data):
     df.coalesce(1).write.mode("append").json(path)
 
 
-def ingest(spark, place, target, checkpoint, run_id):
-    rows_in = feed.read_landing(spark, place, ORDERS)
-    feed.stream_ingest(rows_in, ENTITY["orders"], target, checkpoint, run_id, CLOCK).awaitTermination()
-    return feed.read_ingested(spark, target, ENTITY["orders"])
+def ingest(spark, place, layers, checkpoint, stream_id="feed", entity="orders", schema=ORDERS):
+    rows_in = feed.read_landing(spark, place, schema)
+    feed.stream_ingest(rows_in, ENTITY[entity], layers.raw, checkpoint, stream_id, CLOCK).awaitTermination()
+    return tables.source(spark, layers.raw, ENTITY[entity].ingest_table)
 
 
-def test_late_rows_arrive_and_nothing_arrives_twice(spark, tmp_path):
-    place, target, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
-    land(spark, place, ("1", "x", T1 + timedelta(days=9)))
-    assert rows(ingest(spark, place, target, mark, "a"), "order_id") == [("1",)]
-    land(spark, place, ("2", "x", T1))
-    got = ingest(spark, place, target, mark, "b")
-    assert rows(got, "order_id", "_batch_id") == [("1", "a-00000000"), ("2", "b-00000001")]
-    assert rows(ingest(spark, place, target, mark, "c"), "order_id") == [("1",), ("2",)]
-    audit = feed.read_stream_audit(spark, target)
-    assert rows(audit, "batch_id", "records_loaded", "status") == [("a-00000000", 1, "SUCCESS"), ("b-00000001", 1, "SUCCESS")]
+def audit(spark, layers, *columns):
+    return rows(tables.source(spark, layers.raw, tables.AUDIT_TABLE), *columns)
 
 
-def test_replayed_epoch_replaces_its_rows(spark, tmp_path):
-    """Losing the checkpoint replays everything under the same run id."""
-    place, target = str(tmp_path / "in"), str(tmp_path / "out")
-    land(spark, place, ("1", "x", T1), ("2", "x", T1))
-    ingest(spark, place, target, str(tmp_path / "mark1"), "a")
-    got = ingest(spark, place, target, str(tmp_path / "mark2"), "a")
-    assert rows(got, "order_id") == [("1",), ("2",)]
-    assert feed.read_stream_audit(spark, target).count() == 1
+def test_late_rows_arrive_and_nothing_arrives_twice(spark, layers, tmp_path):
+    place, mark = (str(tmp_path / n) for n in ("in", "mark"))
+    land(spark, place, ("1", "x", T1 + timedelta(days=9)))
+    assert rows(ingest(spark, place, layers, mark), "order_id") == [("1",)]
+    land(spark, place, ("2", "x", T1))
+    got = ingest(spark, place, layers, mark)
+    assert rows(got, "order_id", "_batch_id") == [("1", "feed-00000000"), ("2", "feed-00000001")]
+    assert rows(ingest(spark, place, layers, mark), "order_id") == [("1",), ("2",)]
+    assert audit(spark, layers, "batch_id", "records_loaded", "status") == [
+        ("feed-00000000", 1, "SUCCESS"), ("feed-00000001", 1, "SUCCESS"),
+    ]
+
+
+@pytest.mark.parametrize("broken", ["audit_append", "append_batch"])
+def test_an_epoch_that_failed_comes_again_and_counts_once(spark, layers, tmp_path, monkeypatch, broken):
+    """Failing before the rows are stored, and between them and the audit row."""
+    place, mark = str(tmp_path / "in"), str(tmp_path / "mark")
+    land(spark, place, *[(str(i), "x", T1) for i in range(50)])
+
+    def fail(*_):
+        raise OSError("disk is gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(feed, broken, fail)
+        with pytest.raises(Exception, match="disk is gone"):
+            ingest(spark, place, layers, mark)
+    got = ingest(spark, place, layers, mark)
+    assert got.count() == 50 and got.select("_batch_id").distinct().count() == 1
+    good = tables.source(spark, layers.raw, tables.AUDIT_TABLE).where("status = 'SUCCESS'")
+    assert rows(good, "batch_id", "records_loaded") == [("feed-00000000", 50)]
+
+
+def test_a_failed_attempt_is_audited(spark, layers, tmp_path, monkeypatch):
+    place = str(tmp_path / "in")
+    land(spark, place, ("1", "x", T1))
+    monkeypatch.setattr(feed, "append_batch", lambda *_: 1 / 0)
+    with pytest.raises(Exception, match="division by zero"):
+        ingest(spark, place, layers, str(tmp_path / "mark"))
+    (batch_id, status, n, error), = audit(spark, layers, "batch_id", "status", "records_loaded", "error_message")
+    assert batch_id.startswith("feed-00000000.") and (status, n) == ("FAILED", 0) and "division by zero" in error
+
+
+def test_text_that_is_not_json_fails(spark, layers, tmp_path):
+    place = tmp_path / "in"
+    place.mkdir()
+    (place / "a.json").write_text('{"order_id": "1"}\n{"order_id": "2", "cust')
+    with pytest.raises(Exception, match="not a record"):
+        ingest(spark, str(place), layers, str(tmp_path / "mark"))
+
+
+def test_streamed_rows_reach_the_models(spark, layers, tmp_path):
+    """All entities by stream, then the build and the gate on what it stored."""
+    m = Models(spark, SMALL)
+    tables.create_append_tables(spark, layers.raw)
+    for name in RAW_SCHEMAS:
+        tables.overwrite_table(m.raw(name), layers.raw, name)
+    times = m.operational("orders").select("order_id", "order_purchase_timestamp")
+    for entity in ENTITIES:
+        landed = m.operational(entity.name)
+        landed = landed.join(times, "order_id") if entity.parent else landed
+        landed.select(*landing_schema(entity).names).write.json(str(tmp_path / entity.name))
+        ingest(spark, str(tmp_path / entity.name), layers, str(tmp_path / f"{entity.name}-mark"), "day", entity.name, landing_schema(entity))
+    models = build_models(spark, layers)
+    assert len(validate_batch(models[MONITORING], "day-00000000")) == len(ENTITIES)
+    assert models["fct_orders"].count() == m.raw("orders").count()
 
 
 def test_latest_per_key_across_micro_batches(spark, tmp_path):
@@ -50,31 +104,37 @@ def test_latest_per_key_across_micro_batches(spark, tmp_path):
     for k, s, v in (("1", "new", 2), ("2", "only", 1), ("1", "old", 1), ("1", "tie", 2)):
         df = spark.createDataFrame([(k, "c", s, T1, None, None, None, None, v)], schema)
         df.coalesce(1).write.mode("append").json(place)
-    feed.use_disk_state(spark)
     stream = feed.read_landing(spark, place, schema, files_per_batch=1)
     latest = feed.stream_latest_per_key(stream, ["order_id"], [F.col("v")])
     feed.write_updates(latest, target, str(tmp_path / "mark")).awaitTermination()
     got = feed.read_updates(spark, target, ["order_id"], latest.schema)
     assert rows(got, "order_id", "order_status", "v") == [("1", "tie", 2), ("2", "only", 1)]
+    short = feed.compact_updates(spark, target, ["order_id"], latest.schema, str(tmp_path / "short"))
+    assert rows(short) == rows(got) and spark.read.parquet(str(tmp_path / "short")).count() == 2
 
 
-def test_retries_drop_and_updates_stay(spark, tmp_path):
+def test_retries_drop_and_late_records_stay(spark, tmp_path):
     place, target = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "customer_id string, updated_at string, _record_hash string, _ingested_at timestamp"
-    data = [("1", "a", "h1", T1), ("1", "a", "h1", T1 + timedelta(hours=1)), ("1", "b", "h1", T1 + timedelta(hours=1))]
-    spark.createDataFrame(data, schema).write.json(place)
-    feed.use_disk_state(spark)
-    stream = feed.stream_retry_dedup(feed.read_landing(spark, place, T._parse_datatype_string(schema)), "updated_at")
-    writer = stream.writeStream.format("parquet").option("path", target)
-    writer.option("checkpointLocation", str(tmp_path / "mark")).trigger(availableNow=True).start().awaitTermination()
+    hour, month = timedelta(hours=1), timedelta(days=32)
+    waves = [
+        [("1", "a", "h1", T1), ("1", "a", "h1", T1 + hour), ("1", "b", "h1", T1 + hour)],
+        [("2", "a", "h2", T1 - month), ("3", None, "h3", T1 - month)],
+        [("1", "b", "h1", T1 + month), ("3", None, "h3", T1 + month)],
+    ]
+    for wave in waves:
+        spark.createDataFrame(wave, schema).write.mode("append").json(place)
+        stream = feed.stream_retry_dedup(feed.read_landing(spark, place, T._parse_datatype_string(schema)), "updated_at")
+        writer = stream.writeStream.format("parquet").option("path", target)
+        writer.option("checkpointLocation", str(tmp_path / "mark")).trigger(availableNow=True).start().awaitTermination()
     got = spark.read.schema(schema).parquet(target)
-    assert rows(got, "customer_id", "updated_at") == [("1", "a"), ("1", "b")]
+    assert rows(got, "customer_id", "updated_at") == [("1", "a"), ("1", "b"), ("2", "a"), ("3", None)]
 
 
-def test_children_stream_with_the_time_of_their_parent(spark, tmp_path):
-    place, target, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
-    entity, schema = ENTITY["payments"], landing_schema(ENTITY["payments"])
+def test_children_stream_with_the_time_of_their_parent(spark, layers, tmp_path):
+    place, mark = str(tmp_path / "in"), str(tmp_path / "mark")
+    schema = landing_schema(ENTITY["payments"])
     spark.createDataFrame([("1", 1, "x", 1, None, T1)], schema).write.json(place)
-    feed.stream_ingest(feed.read_landing(spark, place, schema), entity, target, mark, "a", CLOCK).awaitTermination()
-    assert rows(feed.read_ingested(spark, target, entity), "order_id", "_batch_id") == [("1", "a-00000000")]
-    assert feed.read_stream_audit(spark, target).first()["watermark_after"] == T1
+    got = ingest(spark, place, layers, mark, "a", "payments", schema)
+    assert rows(got, "order_id", "_batch_id") == [("1", "a-00000000")]
+    assert audit(spark, layers, "watermark_after") == [(T1,)]
