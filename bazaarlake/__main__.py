@@ -4,7 +4,7 @@
     init-watermarks  set missing watermarks from the raw tables
     ingest           append what is new in the landed pages of each entity
     build            rebuild all models
-    check            run the declared checks
+    check            run the declared checks on what was built
     validate         judge one ingested batch
     day              ingest, build, check, validate
 """
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.operators.quality import run_checks
-from bazaarlake.plans.build import build_models
+from bazaarlake.plans.build import build_models, built_models
 from bazaarlake.plans.checks import MONITORING, suite, validate_batch
 from bazaarlake.plans.daily_run import run_day
 from bazaarlake.plans.ingest import init_watermarks, run_batch
@@ -73,7 +73,7 @@ def main(argv: Sequence[str], spark: SparkSession | None = None) -> int:
     elif args.step == "build":
         build_models(spark, layers, args.normalize_keys)
     elif args.step == "check":
-        models = build_models(spark, layers, args.normalize_keys)
+        models = built_models(spark, layers)
         bad = run_checks(models, suite()).filter(F.col("status") != "pass").collect()
         for row in bad:
             print(f"{row['status']}: {row['model']}.{row['check_name']}: {row['failures']}")

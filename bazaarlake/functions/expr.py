@@ -48,10 +48,6 @@ def safe_cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
     return col.try_cast(target)
 
 
-def count_if_null(col: Column) -> Column:
-    return F.count_if(col.isNull())
-
-
 def exact_avg(col: Column) -> Column:
     """Mean of a decimal as a double: one rounding, taken after the exact sum."""
     return F.try_divide(F.sum(col).cast("double"), F.count(col))

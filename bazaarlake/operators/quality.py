@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ERROR, WARN = "error", "warn"
@@ -120,6 +120,9 @@ def run_checks(models: Mapping[str, DataFrame], suite: Sequence[Check]) -> DataF
                 "failures",
             )
         )
+    if not parts:
+        nothing = "model string, check_name string, severity string, failures long, status string"
+        return SparkSession.active().createDataFrame([], nothing)
     results = parts[0]
     for part in parts[1:]:
         results = results.unionByName(part)

@@ -96,14 +96,6 @@ def delivered_without_payment(orders: DataFrame) -> DataFrame:
     return expression_check(orders, unpaid_delivery()).select("order_id", "order_status", "purchased_at")
 
 
-def review_key_unique(reviews: DataFrame) -> DataFrame:
-    return composite_unique(reviews, ["review_id", "order_id"])
-
-
-def audit_key_unique(monitoring: DataFrame) -> DataFrame:
-    return composite_unique(monitoring, ["batch_id", "entity"])
-
-
 def suite() -> list[Check]:
     checks = [Check(m, "not_null", (c,)) for m, columns in NOT_NULL.items() for c in columns.split()]
     checks += [Check(m, "unique", (c,)) for m, c in UNIQUE.items()]

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from bazaarlake.functions.expr import blank_to, exact_avg, safe_ratio, seconds_between
 
-
 # Counts of an empty order table are 0, its sums stay NULL.
 COUNTERS = ("total_orders", "late_deliveries", "delivered_orders", "orders_with_payment")
 
@@ -91,29 +90,84 @@ def dim_sellers(sellers: DataFrame, performance: DataFrame) -> DataFrame:
     )
 
 
-def _sales_measures(late):
+def _measures(late: Column) -> dict[str, Column]:
+    """What one order row adds to the sums of sales, delivery and payment."""
+    return {
+        "total_sales": F.col("item_value"),
+        "sales_known": F.col("item_value").isNotNull().cast("long"),
+        "total_freight": F.col("freight_value"),
+        "recorded_payment_value": F.col("payment_value"),
+        "days_sum": F.col("delivery_days"),
+        "days_known": F.col("delivery_days").isNotNull().cast("long"),
+        "late_deliveries": F.coalesce(late, F.lit(False)).cast("long"),
+        "delivered_orders": F.coalesce(F.col("order_status") == "delivered", F.lit(False)).cast("long"),
+        "orders_with_payment": F.col("payment_count").isNotNull().cast("long"),
+    }
+
+
+def _orders_and_customers(orders: DataFrame, keys: dict[str, Column], late: Column, order_of_customer: bool) -> DataFrame:
+    """Per key the distinct orders with their sums (``whole``) and, as narrow rows, the distinct customers.
+
+    Counting two things distinctly would triple the wide rows. Here a row is copied once, and the copy
+    carries the customer alone, with the order id only if it is asked for.
+    """
+    measures = _measures(late)
+    rows = orders.select(
+        *[value.alias(name) for name, value in keys.items()],
+        "order_id",
+        "customer_unique_id",
+        *[value.alias(name) for name, value in measures.items()],
+    )
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+
+    def nothing(name: str) -> Column:
+        return F.lit(None).cast(kinds[name]).alias(name)
+
+    whole = F.struct(F.lit(True).alias("whole"), "order_id", nothing("customer_unique_id"), *measures)
+    order = F.col("order_id") if order_of_customer else nothing("order_id")
+    alone = F.struct(
+        F.lit(False).alias("whole"), order.alias("order_id"), "customer_unique_id", *[nothing(name) for name in measures]
+    )
+    copies = rows.select(*keys, F.explode(F.array(whole, alone)).alias("copy")).select(*keys, "copy.*")
+    return copies.groupBy(*keys, "whole", "order_id", "customer_unique_id").agg(
+        *[F.sum(name).alias(name) for name in measures]
+    )
+
+
+def _sales_totals() -> list[Column]:
+    """Aggregates over the rows of ``_orders_and_customers``; the narrow rows add nothing to sums."""
     return [
-        F.sum("item_value").alias("total_sales"),
-        F.sum("freight_value").alias("total_freight"),
-        F.sum("payment_value").alias("recorded_payment_value"),
-        exact_avg(F.col("item_value")).alias("average_order_value"),
-        F.avg("delivery_days").alias("average_delivery_days"),
-        F.count_if(late).alias("late_deliveries"),
-        F.count_if(F.col("order_status") == "delivered").alias("delivered_orders"),
-        F.count("payment_count").alias("orders_with_payment"),
+        F.count_if(F.col("whole") & F.col("order_id").isNotNull()).alias("total_orders"),
+        F.count_if(~F.col("whole") & F.col("customer_unique_id").isNotNull()).alias("customers"),
+        *[F.sum(name).alias(name) for name in _measures(F.lit(False))],
+    ]
+
+
+def _sales_columns() -> list[Column]:
+    return [
+        F.col("total_sales"),
+        F.col("total_freight"),
+        F.col("recorded_payment_value"),
+        F.try_divide(F.col("total_sales").cast("double"), F.col("sales_known")).alias("average_order_value"),
+        F.try_divide(F.col("days_sum").cast("double"), F.col("days_known")).alias("average_delivery_days"),
+        _or_zero("late_deliveries"),
+        _or_zero("delivered_orders"),
+        _or_zero("orders_with_payment"),
     ]
 
 
 def mart_daily_sales(orders: DataFrame) -> DataFrame:
     """Per purchase date, from the order fact. Late counts every status here."""
     dated = orders.filter(F.col("purchased_at").isNotNull())
-    daily = dated.groupBy(F.to_date("purchased_at").alias("sales_date")).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_unique_id").alias("unique_customers"),
-        *_sales_measures(F.col("delivered_late")),
+    date = {"sales_date": F.to_date("purchased_at")}
+    daily = _orders_and_customers(dated, date, F.col("delivered_late"), False).groupBy("sales_date").agg(*_sales_totals())
+    return daily.select(
+        "sales_date",
+        "total_orders",
+        F.col("customers").alias("unique_customers"),
+        *_sales_columns(),
+        safe_ratio(F.col("orders_with_payment"), F.col("total_orders")).alias("payment_coverage_rate"),
     )
-    coverage = safe_ratio(F.col("orders_with_payment"), F.col("total_orders"))
-    return daily.withColumn("payment_coverage_rate", coverage)
 
 
 def customer_repeat_metrics(orders: DataFrame) -> DataFrame:
@@ -130,45 +184,30 @@ def customer_repeat_metrics(orders: DataFrame) -> DataFrame:
 
 def overall_metrics(orders: DataFrame) -> DataFrame:
     """One row. Late counts delivered orders only here."""
-    return orders.agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_unique_id").alias("total_customers_with_orders"),
-        *_sales_measures(F.col("delivered_late") & (F.col("order_status") == "delivered")),
-    )
+    late = F.col("delivered_late") & (F.col("order_status") == "delivered")
+    total = _orders_and_customers(orders, {}, late, False).agg(*_sales_totals())
+    return total.select("total_orders", F.col("customers").alias("total_customers_with_orders"), *_sales_columns())
 
 
 def mart_executive_kpis(orders: DataFrame) -> DataFrame:
     """The overall row and the repeat-customer figures in one pass over the orders.
 
-    Two grouping sets share the scan: per order, which gives the distinct orders and
-    carries every measure, and per customer and order, which gives the distinct
-    orders of each customer. Both are spread by order before anything is summed up.
+    The distinct orders carry every measure, the distinct pairs of customer and order
+    nothing but themselves. Both are spread by order before anything is summed up.
     """
     late = F.col("delivered_late") & (F.col("order_status") == "delivered")
-    measures = {
-        "total_sales": F.sum("item_value"),
-        "sales_known": F.count("item_value"),
-        "total_freight": F.sum("freight_value"),
-        "recorded_payment_value": F.sum("payment_value"),
-        "days_sum": F.sum("delivery_days"),
-        "days_known": F.count("delivery_days"),
-        "late_deliveries": F.count_if(late),
-        "delivered_orders": F.count_if(F.col("order_status") == "delivered"),
-        "orders_with_payment": F.count("payment_count"),
-    }
-    by_order, by_customer = [F.col("order_id")], [F.col("customer_unique_id"), F.col("order_id")]
-    grouped = orders.groupingSets([by_order, by_customer], *by_customer).agg(
-        (F.grouping_id() == 0).alias("per_customer"), *[value.alias(name) for name, value in measures.items()]
-    )
-    counted = grouped.groupBy("per_customer", "customer_unique_id").agg(
-        F.count("order_id").alias("orders"), *[F.sum(name).alias(name) for name in measures]
+    measures = list(_measures(late))
+    counted = (
+        _orders_and_customers(orders, {}, late, True)
+        .groupBy("whole", "customer_unique_id")
+        .agg(F.count("order_id").alias("orders"), *[F.sum(name).alias(name) for name in measures])
     )
-    overall, customer = ~F.col("per_customer"), F.col("per_customer") & F.col("customer_unique_id").isNotNull()
+    customer = ~F.col("whole") & F.col("customer_unique_id").isNotNull()
     total = counted.agg(
-        F.sum(F.when(overall, F.col("orders"))).alias("total_orders"),
+        F.sum(F.when(F.col("whole"), F.col("orders"))).alias("total_orders"),
         F.count_if(customer).alias("total_customers"),
         F.count_if(customer & (F.col("orders") > 1)).alias("repeat_customers"),
-        *[F.sum(F.when(overall, F.col(name))).alias(name) for name in measures],
+        *[F.sum(name).alias(name) for name in measures],
     )
 
     def counter(name: str) -> Column:

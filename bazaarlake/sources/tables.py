@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -59,10 +60,17 @@ def table_exists(spark: SparkSession, namespace: str, name: str) -> bool:
 
 
 def overwrite_table(df: DataFrame, namespace: str, name: str) -> int:
-    """Replace the table and return the rows written, counted during the write."""
+    """Replace the table and return the rows written, counted during the write.
+
+    The new rows are written beside the old ones and then take their name, so a write that fails
+    leaves the table as it was, and a table may be replaced by what is read from it.
+    """
+    spark, fresh = df.sparkSession, f"`{namespace}`.`{name}__new`"
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").saveAsTable(f"`{namespace}`.`{name}`")
+    counted.write.mode("overwrite").saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO `{namespace}`.`{name}`")
     return seen.get["rows"]
 
 
@@ -79,10 +87,15 @@ def create_append_tables(spark: SparkSession, namespace: str) -> None:
             append_table(spark.createDataFrame([], schema), namespace, name)
 
 
-def materialize_view(df: DataFrame, name: str) -> DataFrame:
-    """A named, lazily evaluated model."""
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
+def materialize_view(spark: SparkSession, namespace: str, name: str, query: str) -> DataFrame:
+    """A named, lazily evaluated model in its namespace; it outlives the session where the catalog does."""
+    spark.sql(f"CREATE OR REPLACE VIEW `{namespace}`.`{name}` AS {query}")
+    return spark.table(f"`{namespace}`.`{name}`")
+
+
+def projection(namespace: str, name: str, columns: Sequence[str]) -> str:
+    """The query of a view that only picks columns of a table."""
+    return f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM `{namespace}`.`{name}`"
 
 
 def materialize_table(df: DataFrame, namespace: str, name: str) -> DataFrame:
@@ -91,11 +104,17 @@ def materialize_table(df: DataFrame, namespace: str, name: str) -> DataFrame:
     return df.sparkSession.table(f"`{namespace}`.`{name}`")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage: write to the shared scratch folder and read back.
+def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Cut lineage: write to the shared scratch folder, or a given place in it, and read back.
 
     Survives lost executors, unlike a cached frame, and keeps column pruning.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove what ``written`` left, once nothing reads it any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

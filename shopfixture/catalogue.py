@@ -217,7 +217,8 @@ def _(m):
 
 @query("m07_rfm_metrics", replaced("rfm_metrics", "monetary"))
 def _(m):
-    return rfm.rfm_metrics(rfm.rfm_base(m.customer_orders))
+    base, _, latest = rfm.written_base(m.customer_orders)
+    return rfm.rfm_metrics(base, latest)
 
 
 @query("m08_rfm_scores", replaced("rfm_scores", "monetary"))
@@ -225,6 +226,12 @@ def _(m):
     return rfm.rfm_scores(m.customer_orders)
 
 
+@query("m08_rfm_scores_searched", replaced("rfm_scores", "monetary"))
+def _(m):
+    """Narrow bands, so that the borders are searched for as on a large table."""
+    return rfm.rfm_scores(m.customer_orders, max_band=20)
+
+
 @query("m09_mart_customer_rfm", replaced("rfm", "monetary"))
 def _(m):
     return m.customer_rfm

@@ -140,13 +140,25 @@ def _(m):
     return m.spark.table(f"{raw}.reviews")
 
 
+def typed(column: str, field: T.StructField) -> str:
+    """A number as the export's reader has it: text that isn't one is NULL."""
+    kind = {"bigint": "BIGINT", "double": "DOUBLE"}.get(field.dataType.simpleString())
+    return f"TRY_CAST(CAST({column} AS VARCHAR) AS {kind})" if kind else column
+
+
 @query(
     "s02_csv_load_catalogue",
     " UNION ALL ".join(
-        f"SELECT '{n}' AS table_name, {S.RAW_SCHEMAS[n].names[0]} AS first_column FROM raw_{n}" for n in S.RAW_SCHEMAS
+        f"""SELECT '{n}' AS table_name, '{c}' AS column_name, COUNT({typed(c, kind)}) AS known,
+        COUNT(DISTINCT {typed(c, kind)}) AS different,
+        coalesce(SUM(length(CAST({c} AS VARCHAR))) FILTER (WHERE {'TRUE' if kind.dataType.simpleString() == 'string' else 'FALSE'}), 0)
+        AS characters FROM raw_{n}"""
+        for n, schema in S.RAW_SCHEMAS.items()
+        for c, kind in zip(schema.names, schema.fields, strict=True)
     ),
 )
 def _(m):
+    """Every column of every table: known and different values, and the length of text."""
     folder, raw = scratch_path(m.spark, "csv"), workspace(m).raw
     export_csv(m, S.RAW_SCHEMAS, folder)
     items = csv_files.csv_catalogue(folder)
@@ -154,7 +166,17 @@ def _(m):
     loaded = None
     for item in items:
         table = m.spark.table(f"{raw}.{item.table}")
-        part = table.select(F.lit(item.table).alias("table_name"), F.col(table.columns[0]).alias("first_column"))
+        text = {f.name for f in S.RAW_SCHEMAS[item.table].fields if f.dataType.simpleString() == "string"}
+        columns = [
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count(c).alias("known"),
+                F.count_distinct(c).alias("different"),
+                F.coalesce(F.sum(F.length(c)) if c in text else F.lit(0), F.lit(0)).cast("long").alias("characters"),
+            )
+            for c in table.columns
+        ]
+        part = table.agg(F.array(*columns).alias("columns")).select(F.lit(item.table).alias("table_name"), F.inline("columns"))
         loaded = part if loaded is None else loaded.unionByName(part)
     return loaded
 
@@ -258,12 +280,16 @@ def _(m):
     FROM dim_products""",
 )
 def _(m):
-    """Staging and intermediate as views, the mart as a table over them."""
+    """A staged table, a view in its namespace, and the mart as a table over them."""
     from bazaarlake.plans import intermediate, marts
 
-    products = tables.materialize_view(m.staged("products"), f"stg_products_{uuid.uuid4().hex[:8]}")
-    sales = tables.materialize_view(intermediate.int_product_sales(m.items), f"int_sales_{uuid.uuid4().hex[:8]}")
-    table = tables.materialize_table(marts.dim_products(products, sales), workspace(m).marts, "dim_products")
+    layers, units = workspace(m), ("product_id", "units_sold", "order_count", "total_revenue", "total_freight", "average_item_price")
+    products = tables.materialize_table(m.staged("products"), layers.staging, "stg_products")
+    tables.materialize_table(intermediate.int_product_sales(m.items), layers.intermediate, "int_product_sales")
+    query = tables.projection(layers.intermediate, "int_product_sales", units)
+    tables.materialize_view(m.spark, layers.intermediate, "int_sales_view", query)
+    sales = m.spark.table(f"{layers.intermediate}.int_sales_view")
+    table = tables.materialize_table(marts.dim_products(products, sales), layers.marts, "dim_products")
     return table.select("product_id", "product_category_name", "units_sold", "total_revenue")
 
 
@@ -385,6 +411,38 @@ def metadata_sql(*keys: str) -> str:
     return f"'{BATCH}' AS _batch_id, {NOW_SQL} AS _ingested_at, {hash_sql(*keys)} AS _record_hash"
 
 
+MASTERS, TRANSACTIONS = ("customers", "products", "sellers"), ("orders", "order_items", "payments")
+
+
+def ingested_sql(names) -> str:
+    """Keys and metadata of the rows that a batch appends."""
+    return " UNION ALL ".join(
+        f"""SELECT '{n}' AS entity, CAST({ENTITY[n].keys[0]} AS VARCHAR) AS id, '{BATCH}' AS _batch_id, {NOW_SQL} AS _ingested_at,
+        {hash_sql(*ENTITY[n].keys)} AS _record_hash FROM new_{n}"""
+        for n in names
+    )
+
+
+def ingested(m: Models, names) -> DataFrame:
+    raw, found = run(m, list(names)), None
+    for n in names:
+        part = m.spark.table(f"{raw}.{ENTITY[n].ingest_table}").select(
+            F.lit(n).alias("entity"), F.col(ENTITY[n].keys[0]).cast("string").alias("id"), "_batch_id", "_ingested_at", "_record_hash"
+        )
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query("i10_ingest_masters", ingested_sql(MASTERS))
+def _(m):
+    return ingested(m, MASTERS)
+
+
+@query("i11_ingest_transactions", ingested_sql(TRANSACTIONS))
+def _(m):
+    return ingested(m, TRANSACTIONS)
+
+
 @query(
     "i10_ingest_dimension",
     f"SELECT * EXCLUDE (source_time), {metadata_sql('customer_id')} FROM new_customers",

@@ -60,3 +60,13 @@ def test_versions_are_reduced_before_the_exchange(spark):
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text and "Final" in text
 
 
+
+
+@pytest.mark.parametrize("name", ["m10_daily_sales", "m12_overall_metrics", "m13_mart_executive_kpis"])
+def test_two_distinct_counts_do_not_multiply_the_measures(spark, name):
+    assert "Expand" not in plan(spark, name)
+
+
+def test_rfm_metrics_compute_their_base_once(spark):
+    text = plan(spark, "m07_rfm_metrics")
+    assert "rfm-base" in text and text.count("Scan parquet") == text.count("rfm-base")

@@ -38,6 +38,10 @@ def test_steps(spark, layers, capsys):
     assert main(["ingest", "--folder", pages, "--batch-id", "b1", *names(layers)], spark) == 0
     assert spark.table(f"{layers.raw}._ingest_orders").count() == 900
     assert main(["build", *names(layers)], spark) == 0
+    before = spark.table(f"{layers.marts}.fct_orders").inputFiles()
+    main(["check", *names(layers)], spark)
+    assert spark.table(f"{layers.marts}.fct_orders").inputFiles() == before  # checks rebuild nothing
+    assert spark.table(f"{layers.intermediate}.int_customer_orders").count() == 1500
     assert main(["validate", "--batch-id", "b1", *names(layers)], spark) == 0
     assert "orders: 900 of 900 loaded" in capsys.readouterr().out
 

@@ -283,3 +283,12 @@ def test_unknown_source_is_an_error(spark, layers):
 def test_route_namespace():
     assert tables.route_namespace(" analytics ", "target") == "analytics"
     assert tables.route_namespace(None, "target") == "target"
+
+
+def test_a_failing_write_leaves_the_table(spark, layers):
+    tables.overwrite_table(spark.range(3), layers.raw, "t")
+    with pytest.raises(Exception, match="broken"):
+        tables.overwrite_table(spark.range(3).select(F.raise_error(F.lit("broken")).alias("id")), layers.raw, "t")
+    assert spark.table(f"{layers.raw}.t").count() == 3
+    tables.overwrite_table(spark.table(f"{layers.raw}.t").where("id > 0"), layers.raw, "t")
+    assert rows(spark.table(f"{layers.raw}.t")) == [(1,), (2,)]

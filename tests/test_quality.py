@@ -102,3 +102,7 @@ def test_gate_merges_repeated_log_rows(spark):
     with pytest.raises(checks.BatchInvalid, match="orders: not successful"):
         checks.validate_batch(audit(spark, *entries), "b1")
     assert len(checks.validate_batch(audit(spark, *sound(), *sound()), "b1")) == 7
+
+
+def test_an_empty_suite_has_no_results(spark):
+    assert run_checks({}, []).count() == 0
