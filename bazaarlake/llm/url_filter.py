@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from bazaarlake.llm.word_columns import UPPER
 
 BUCKETS = 1 << 14
-SIZES = (3, 4, 5)
+SIZES = (2, 3, 4)
 DIGITS = re.compile("[0-9]+")
 STEPS = 400
 RATE = 0.5
@@ -88,7 +88,43 @@ LABELLED = (
     ("https://m.rotation-theatre.example/en/40", 0),
     ("http://www.thatmagazine.example/de/19.html", 0),
     ("https://blog.petition-watch.example/fr/8/", 0),
+    ("https://www.northern-theatre.example/en/20", 0),
+    ("http://blog.the-reading-room.example/fr/311/", 0),
+    ("https://m.station-hotel.example/de/5", 0),
+    ("http://nation-archive.example/es/48.html", 0),
+    ("https://the-tide-tables.example/en/900", 0),
+    ("http://m.that-garden.example/en/61?page=2", 0),
+    ("https://blog.other-things.example/en/777/", 0),
+    ("http://www.weather-and-water.example/fr/13", 0),
+    ("https://in-the-north.example/en/202", 0),
+    ("http://thin-ice-report.example/de/9", 0),
+    ("https://www.rather-good-bread.example/es/310", 0),
+    ("http://bathhouse-museum.example/en/87.html", 0),
+    ("https://m.education-weekly.example/en/4", 0),
+    ("http://notation-for-choirs.example/fr/75", 0),
+    ("https://local-history.example/en/1837", 0),
+    ("http://www.village-school.example/es/16/", 0),
     ("http://www.cheap-pills.example/en/450", 1),
+    ("https://m.pills-and-meds.example/en/62", 1),
+    ("http://discount-pills.example/es/9", 1),
+    ("https://www.cheap-meds-online.example/fr/40", 1),
+    ("http://spam-links-farm.example/en/17", 1),
+    ("https://m.spam-network.example/de/300", 1),
+    ("http://www.link-farm.example/en/28/", 1),
+    ("https://casino-bonus-win.example/es/71", 1),
+    ("http://www.big-win-casino.example/en/5", 1),
+    ("https://m.win-casino-slots.example/fr/606", 1),
+    ("http://bets-free-spins.example/en/44", 1),
+    ("https://www.sports-bets-win.example/de/3", 1),
+    ("http://free-bets-casino.example/en/90/", 1),
+    ("https://ads-click-track.example/en/8.html", 1),
+    ("http://m.track-ads.example/es/55", 1),
+    ("https://click-ads-server.example/fr/2", 1),
+    ("http://adult-xxx.example/en/19", 1),
+    ("https://m.adult-x-video.example/es/33", 1),
+    ("http://cash-loans-payday.example/en/7", 1),
+    ("https://www.replica-watches-cheap.example/en/11", 1),
+    ("http://free-crack-download.example/de/64", 1),
     ("https://cheap-pills-online.example/buy/cheap", 1),
     ("http://pills-cheap24.example/de/88", 1),
     ("https://buy-cheap-meds.example/pills/blue", 1),
