@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -65,7 +66,7 @@ def overwrite_table(df: DataFrame, namespace: str, name: str) -> int:
     The new rows are written beside the old ones and then take their name, so a write that fails
     leaves the table as it was, and a table may be replaced by what is read from it.
     """
-    spark, fresh = df.sparkSession, f"`{namespace}`.`{name}__new`"
+    spark, fresh = df.sparkSession, f"`{namespace}`.`{name}__{uuid.uuid4().hex[:12]}`"
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").saveAsTable(fresh)
