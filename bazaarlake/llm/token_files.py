@@ -34,6 +34,9 @@ SHARD_IDS = 2_000_000
 ROUNDS = 6
 RULES_A_ROUND = 2048
 LEAST_COUNT = 16
+#: Pairs are counted in so many buckets at first, and exactly in the fullest ones.
+BUCKET_BITS = 20
+CANDIDATES = 3 * RULES_A_ROUND
 #: New symbols start here, above all ids of a vocabulary.
 FIRST_SYMBOL = 1 << 18
 
@@ -109,10 +112,16 @@ def compress(ids: np.ndarray, base: int) -> Grammar:
         if len(symbols) < 2 * LEAST_COUNT:
             break
         code = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+        # pairs that share a bucket are counted together first: one of the most frequent pairs lies in one of the fullest
+        bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        full = np.bincount(bucket, minlength=1 << BUCKET_BITS)
+        limit = max(LEAST_COUNT, int(np.partition(full, -CANDIDATES)[-CANDIDATES]))
+        place = np.flatnonzero((full >= limit)[bucket])
+        code = code[place]
         ordered = np.sort(code)
-        edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]))
+        edges = np.flatnonzero(np.concatenate([ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1], [True]]))
         count = np.diff(edges)
-        often = np.flatnonzero(count >= LEAST_COUNT)
+        often = np.flatnonzero(count >= limit)
         often = often[np.argsort(-count[often], kind="stable")]
         pairs = ordered[edges[often]]
         n = base + len(rules)
@@ -120,12 +129,14 @@ def compress(ids: np.ndarray, base: int) -> Grammar:
         if not len(picked):
             break
         picked.sort()
-        place = np.minimum(np.searchsorted(picked, code), len(picked) - 1)
-        at = np.flatnonzero(picked[place] == code)
+        which = np.minimum(np.searchsorted(picked, code), len(picked) - 1)
+        hit = picked[which] == code
+        at, which = place[hit], which[hit]
         # places of different pairs never overlap; in a run of one symbol every second one counts
         starts = np.concatenate([[True], np.diff(at) > 1])
-        at = at[(at - at[starts][np.cumsum(starts) - 1]) % 2 == 0]
-        symbols[at] = (n + place[at]).astype(np.uint32)
+        every = (at - at[starts][np.cumsum(starts) - 1]) % 2 == 0
+        at, which = at[every], which[every]
+        symbols[at] = (n + which).astype(np.uint32)
         stays = np.ones(len(symbols), bool)
         stays[at + 1] = False
         symbols = symbols[stays]

@@ -7,8 +7,8 @@ Texts with white space whose splitting depends on what stands around it are enco
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +48,9 @@ class Encoder:
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
-        self.store: dict[str, list[int]] = {}
+        self.store: dict[str, bytes] = {}  # ids of a piece as 32-bit numbers
 
-    def ids_of(self, pieces: list[str]) -> list[list[int]]:
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
         new = [p for p in pieces if p not in self.store]
         if len(self.store) + len(new) > STORE:
             self.store, new = {}, pieces
@@ -59,13 +59,14 @@ class Encoder:
             word = piece[1:] if self.white_kept and piece[:1] == " " else piece
             if word.isalpha() and ord(max(word)) < PLAIN and (self.white_kept or word == word.lower()):
                 # one word of plain letters is not normalised or split any more, only merged
-                self.store[piece] = [t.id for t in merge(piece.encode().decode("latin-1").translate(self.letters))]
+                found = merge(piece.encode().decode("latin-1").translate(self.letters))
+                self.store[piece] = array("I", [t.id for t in found]).tobytes()
             else:
                 other.append(piece)
         for i in range(0, len(other), 20_000):
             some = other[i : i + 20_000]
             for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.store[piece] = e.ids
+                self.store[piece] = array("I", e.ids).tobytes()
         return [self.store[p] for p in pieces]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -86,8 +87,8 @@ class Encoder:
         place = coded.indices.to_numpy()
         pieces = coded.dictionary.to_pylist()
         known = self.ids_of(pieces)
-        size = np.fromiter(map(len, known), np.int64, len(known))
-        flat = np.fromiter(chain.from_iterable(known), np.uint32, int(size.sum()))
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), np.uint32)
         first = np.cumsum(size) - size
         at = lists.offsets.to_numpy().astype(np.int64)
         at = at - at[0]
