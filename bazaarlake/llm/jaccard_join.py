@@ -7,7 +7,7 @@ Sets of 64-bit shingle hashes; documents with equal sets become one before anyth
    partner. The others are cut to their rarest found shingles, of which partners share one at least; sets that are
    connected by such a shingle make a block.
 2. T-occurrence search (DivideSkip) inside a block: the inverted lists of a set's shingles are split into short ones, which
-   are merged and counted, and long ones, in which the sets that reached the count left over are looked up by binary search.
+   are merged by counting, and long ones, in which the sets that reached the count left over are looked up by binary search.
    Sets that are already connected need no look-up, so a group of copies costs no pair each.
 3. A block of more than ``BLOCK_SHINGLES`` is cut into chunks by hash, with a few common sets in each. What is then not in
    the block's largest component is searched against all its chunks. So two sets of different components are always
@@ -147,22 +147,6 @@ def blocks(docs: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("sig"), F.col("label").alias("block"))
 
 
-class Union:
-    """Disjoint sets of small numbers."""
-
-    def __init__(self, n: int):
-        self.above = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.above[x] != x:
-            self.above[x] = self.above[self.above[x]]
-            x = self.above[x]
-        return x
-
-    def join(self, x: int, y: int) -> None:
-        self.above[max(self.root(x), self.root(y))] = min(self.root(x), self.root(y))
-
-
 def divide_skip(sets: list[np.ndarray], asks: np.ndarray) -> list[tuple[int, int]]:
     """Links that connect what is linked: each asking set against all others. Sets are sorted, without repeats."""
     size = np.array([len(s) for s in sets])
@@ -177,7 +161,7 @@ def divide_skip(sets: list[np.ndarray], asks: np.ndarray) -> list[tuple[int, int
     begin = np.flatnonzero(np.concatenate([new, [True]]))
     length = np.diff(begin)
     edge = np.concatenate([[0], np.cumsum(size)])
-    groups, links = Union(len(sets)), []
+    group, links = np.arange(len(sets)), []  # sets of one number are connected
     for q in np.flatnonzero(asks):
         t = int(least_overlap(size[q : q + 1])[0])
         mine = token[edge[q] : edge[q + 1]]
@@ -188,20 +172,19 @@ def divide_skip(sets: list[np.ndarray], asks: np.ndarray) -> list[tuple[int, int
         mine = mine[np.argsort(length[mine], kind="stable")]
         n_long = min(t - 1, int(t / (MU * np.log2(max(2, length[mine[-1]])) + 1)))
         short, long = mine[: len(mine) - n_long], mine[len(mine) - n_long :]
-        merged = np.concatenate([lists[begin[x] : begin[x + 1]] for x in short])
-        merged.sort(kind="stable")
-        starts = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
-        others, count = merged[starts], np.diff(np.concatenate([starts, [len(merged)]]))
+        # the lists are merged by counting each set's occurrences
+        count = np.bincount(np.concatenate([lists[begin[x] : begin[x + 1]] for x in short]), minlength=len(sets))
+        others = np.flatnonzero((count >= t - n_long) & (group != group[q]))
         # 9 * overlap >= 4 * (both sizes) is what 80 per cent means
-        fits = (others != q) & (count >= t - n_long) & (5 * size[others] >= 4 * size[q]) & (4 * size[others] <= 5 * size[q])
-        for r, have in zip(others[fits].tolist(), count[fits].tolist(), strict=True):
-            if groups.root(q) == groups.root(r):
+        fits = (5 * size[others] >= 4 * size[q]) & (4 * size[others] <= 5 * size[q])
+        for r in others[fits].tolist():
+            if group[q] == group[r]:
                 continue
             theirs = np.sort(token[edge[r] : edge[r + 1]])
             at = np.minimum(np.searchsorted(theirs, long), len(theirs) - 1)
-            overlap = have + int((theirs[at] == long).sum())
+            overlap = int(count[r]) + int((theirs[at] == long).sum())
             if 9 * overlap >= 4 * (size[q] + size[r]):
-                groups.join(int(q), r)
+                group[group == group[r]] = group[q]
                 links.append((int(q), r))
     return links
 
@@ -261,7 +244,8 @@ def links(docs: DataFrame, sizes: DataFrame, block_shingles: int = BLOCK_SHINGLE
         .withColumn("chunk", F.expr("pmod(xxhash64(sig, 1), chunks)"))
         .select("block", "sig", "id", "key", "chunk", "chunks")
     )
-    texts = docs.select("doc_id", "text_key", "text")
+    # joined by sorting at every size: how many sets are left grows with the input
+    texts = docs.select("doc_id", "text_key", "text").hint("merge")
 
     def with_text(rows: DataFrame) -> DataFrame:
         return rows.join(texts, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")))
