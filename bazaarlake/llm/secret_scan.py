@@ -168,12 +168,10 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """(hit_id, hit_key, rules): documents whose trigrams satisfy a rule's query, and the numbers of these rules."""
     queries = [(n, c, s) for n, rule in enumerate(rules) for c, s in enumerate(trigram_query(rule))]
     trigrams = sorted({t for _, _, s in queries for t in s})
-    small = F.lower(F.col("text"))  # more than A-Z, so it finds a few candidates more
-    postings = docs.select(
-        "doc_id",
-        "text_key",
-        F.explode(F.array_compact(F.array(*(F.when(F.contains(small, F.lit(t)), F.lit(t)) for t in trigrams)))).alias("trigram"),
-    )
+    # lower-cased once, more than A-Z, so it finds a few candidates more
+    small = docs.select("doc_id", "text_key", F.lower("text").alias("small"))
+    there = F.array(*(F.when(F.contains("small", F.lit(t)), F.lit(t)) for t in trigrams))
+    postings = small.select("doc_id", "text_key", F.explode(F.array_compact(there)).alias("trigram"))
     wanted = docs.sparkSession.range(1).select(
         F.inline(
             F.array(
