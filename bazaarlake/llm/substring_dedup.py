@@ -229,7 +229,7 @@ def substring_dedup(docs: DataFrame, k: int = K, max_cells: int = MAX_CELLS) ->
     places = (
         later_windows(rows, k, max_cells)
         .groupBy(F.col("doc_id").alias("cut_id"), F.col("tag").alias("cut_tag"))
-        .agg(F.collect_list(F.struct("pos", "run")).alias("cut"))
+        .agg(F.collect_list(F.shiftleft(F.col("pos").cast("long"), 32) + F.col("run")).alias("cut"))
     )
     joined = rows.join(
         places, (F.col("doc_id") == F.col("cut_id")) & (F.col("tag") == F.col("cut_tag")), "left"
@@ -244,7 +244,7 @@ def substring_dedup(docs: DataFrame, k: int = K, max_cells: int = MAX_CELLS) ->
                     words = (text.as_py() or b"").split()  # bytes split at the six ASCII white characters
                     n_words.append(len(words))
                     if places.is_valid:
-                        begin, run = (np.asarray(places.values.field(i)) for i in range(2))
+                        begin, run = np.divmod(np.asarray(places.values), 1 << 32)
                         change = np.bincount(begin, minlength=len(words) + 1)
                         change -= np.bincount(begin + run + k - 1, minlength=len(words) + 1)
                         words = [words[i] for i in np.flatnonzero(np.cumsum(change)[:-1] == 0)]
