@@ -10,8 +10,9 @@ Sets of 64-bit shingle hashes; documents with equal sets become one before anyth
    are merged by counting, and long ones, in which the sets that reached the count left over are looked up by binary search.
    Sets that are already connected need no look-up, so a group of copies costs no pair each.
 3. A block of more than ``BLOCK_SHINGLES`` is cut into chunks by hash, with a few common sets in each. What is then not in
-   the block's largest component is searched against all its chunks. So two sets of different components are always
-   compared, and no block has to fit into one task.
+   the block's largest component is searched against all other chunks that hold one of its rare shingles, dealt out in
+   slices of about ``BLOCK_SHINGLES`` too. So two sets of different components are always compared, and a task holds one
+   chunk and one slice, however large the block and however little of it is linked.
 4. Components of the links, the smallest id of each, and back to the documents.
 
 Defined results: null or empty text has no shingles and is linked with nothing, its component is itself; fewer words than
@@ -123,8 +124,8 @@ def sampled(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(of_batches, "token long, sig long, n int")
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """(sig, block) of the sets that may have a partner; partners are in one block."""
+def rare_tokens(docs: DataFrame) -> DataFrame:
+    """(sig, token) of the sets that may have a partner: their rarest found shingles, of which partners share one."""
     by_set = Window.partitionBy("token").orderBy("sig")
     found = (
         sampled(docs)
@@ -134,7 +135,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         .where("sets > 1")
     )
     needed = "greatest(1, cast(((4 * n + 4) div 5) div 10 as int))"
-    rare = (
+    return (
         found.groupBy("sig", "n")
         .agg(F.array_sort(F.collect_list(F.struct("sets", "token"))).alias("tokens"))
         .withColumn("needed", F.expr(needed))
@@ -142,6 +143,10 @@ def blocks(docs: DataFrame) -> DataFrame:
         .select("sig", F.explode(F.expr("slice(tokens, 1, size(tokens) - needed + 1)")).alias("t"))
         .select("sig", F.col("t.token").alias("token"))
     )
+
+
+def blocks(rare: DataFrame) -> DataFrame:
+    """(sig, block) of the sets of rare_tokens(); partners are in one block."""
     stars = rare.withColumn("least", F.first("sig").over(Window.partitionBy("token").orderBy("sig")))
     links = stars.where("sig <> least").select(F.col("sig").alias("a"), F.col("least").alias("b")).distinct()
     return components(links).select(F.col("node").alias("sig"), F.col("label").alias("block"))
@@ -190,7 +195,9 @@ def divide_skip(sets: list[np.ndarray], asks: np.ndarray) -> list[tuple[int, int
 
 
 def searched(rows: DataFrame) -> DataFrame:
-    """Links (a, b) between signatures. rows: block, chunk, sig, asks, text; one search for each block and chunk."""
+    """Links (a, b) between signatures. rows: block, chunk, slice, sig, asks, text; one search for each of the first three."""
+
+    place = ["block", "chunk", "slice"]
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, sigs, sets, asks = None, [], [], []
@@ -210,12 +217,12 @@ def searched(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for part in bytewords.slices(batch):
                 key, first = shingle_sets(part.column("text"))
-                heads = zip(*(part.column(c).to_pylist() for c in ("block", "chunk", "sig", "asks")), strict=True)
-                for i, (block, chunk, sig, ask) in enumerate(heads):
-                    if (block, chunk) != now:
+                heads = zip(*(part.column(c).to_pylist() for c in (*place, "sig", "asks")), strict=True)
+                for i, (*at, sig, ask) in enumerate(heads):
+                    if at != now:
                         if sigs:
                             yield out()
-                        now, sigs, sets, asks = (block, chunk), [], [], []
+                        now, sigs, sets, asks = at, [], [], []
                     sigs.append(sig)
                     sets.append(key[first[i] : first[i + 1]].copy())
                     asks.append(ask)
@@ -223,9 +230,9 @@ def searched(rows: DataFrame) -> DataFrame:
             yield out()
 
     return (
-        rows.repartition("block", "chunk")
-        .sortWithinPartitions("block", "chunk")
-        .select("block", "chunk", "sig", "asks", "text")
+        rows.repartition(*place)
+        .sortWithinPartitions(*place)
+        .select(*place, "sig", "asks", "text")
         .mapInArrow(of_batches, "a long, b long")
     )
 
@@ -236,13 +243,13 @@ def links(docs: DataFrame, sizes: DataFrame, block_shingles: int = BLOCK_SHINGLE
     one = sizes.where("sig is not null").groupBy(F.col("sig").alias("one_sig"), "n").agg(
         F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))).alias("one")
     )
-    in_block = blocks(docs)
+    in_block = blocks(rare_tokens(docs))
     members = in_block.join(one, F.col("sig") == F.col("one_sig")).select("block", "sig", "n", "one.id", "one.key")
     chunks = members.groupBy("block").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("chunks"))
     members = written(
         members.join(chunks.withColumnRenamed("block", "of_block"), F.col("block") == F.col("of_block"))
         .withColumn("chunk", F.expr("pmod(xxhash64(sig, 1), chunks)"))
-        .select("block", "sig", "id", "key", "chunk", "chunks")
+        .select("block", "sig", "n", "id", "key", "chunk", "chunks")
     )
     # joined by sorting at every size: how many sets are left grows with the input
     texts = docs.select("doc_id", "text_key", "text").hint("merge")
@@ -250,15 +257,16 @@ def links(docs: DataFrame, sizes: DataFrame, block_shingles: int = BLOCK_SHINGLE
     def with_text(rows: DataFrame) -> DataFrame:
         return rows.join(texts, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")))
 
+    whole = members.withColumn("slice", F.lit(0).cast("long")).withColumn("asks", F.lit(True))
     cut = members.where("chunks > 1")
     if cut.isEmpty():
-        return written(searched(with_text(members.withColumn("asks", F.lit(True)))))
+        return written(searched(with_text(whole)))
     # a few sets go into every chunk of their block
     rank = F.row_number().over(Window.partitionBy("block").orderBy(F.xxhash64("sig", F.lit(2))))
     pivots = cut.withColumn("rank", rank).where(F.col("rank") <= PIVOTS).drop("rank")
     all_chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1))
-    rows = members.union(pivots.withColumn("chunk", all_chunks).select(members.columns))
-    first = written(searched(with_text(rows.withColumn("asks", F.lit(True)))))
+    pivots = pivots.withColumn("chunk", all_chunks).withColumn("slice", F.lit(0).cast("long")).withColumn("asks", F.lit(True))
+    first = written(searched(with_text(whole.unionByName(pivots))))
 
     label = components(first).withColumnRenamed("node", "of_sig")
     placed = cut.join(label, F.col("sig") == F.col("of_sig"), "left").withColumn("label", F.coalesce("label", "sig"))
@@ -268,9 +276,27 @@ def links(docs: DataFrame, sizes: DataFrame, block_shingles: int = BLOCK_SHINGLE
     rest = written(rest.select(members.columns))
     if rest.isEmpty():
         return first
-    asking = rest.withColumn("chunk", all_chunks).withColumn("asks", F.lit(True))
-    answering = cut.join(rest.select(F.col("block").alias("r_block")).distinct(), F.col("block") == F.col("r_block"), "left_semi")
-    second = searched(with_text(answering.withColumn("asks", F.lit(False)).unionByName(asking)))
+    # a set asks the other chunks in which one of its rare shingles lies; in its own it has asked
+    of_cut = cut.select(F.col("sig").alias("of_sig"), F.col("chunk").alias("in_chunk"))
+    tokens = written(rare_tokens(docs).join(of_cut, F.col("sig") == F.col("of_sig")).select("sig", "token", "in_chunk"))
+    lies = tokens.select(F.col("token").alias("of_token"), F.col("in_chunk").alias("to_chunk")).distinct()
+    own = tokens.select(F.col("sig").alias("of_sig"), "token")
+    routes = rest.join(own, F.col("sig") == F.col("of_sig")).join(lies, F.col("token") == F.col("of_token"))
+    asking = (
+        routes.where("to_chunk <> chunk")
+        .select("block", "sig", "n", "id", "key", F.col("to_chunk").alias("chunk"))
+        .distinct()
+    )
+    asked = asking.groupBy(F.col("block").alias("r_block"), F.col("chunk").alias("r_chunk")).agg(
+        F.ceil(F.sum("n") / block_shingles).alias("slices")
+    )
+    asked = written(asked)
+    here = (F.col("block") == F.col("r_block")) & (F.col("chunk") == F.col("r_chunk"))
+    columns = ["block", "chunk", "slice", "sig", "id", "key", "asks"]
+    asking = asking.join(asked, here).withColumn("slice", F.expr("pmod(xxhash64(sig, 3), slices)"))
+    answering = cut.join(asked, here).withColumn("slice", F.explode(F.expr("sequence(0L, slices - 1)")))
+    rows = answering.withColumn("asks", F.lit(False)).select(columns).union(asking.withColumn("asks", F.lit(True)).select(columns))
+    second = searched(with_text(rows))
     return written(first.union(second))
 
 

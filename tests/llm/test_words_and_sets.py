@@ -124,6 +124,30 @@ def test_a_cut_block_of_near_copies_is_one_component(spark):
     assert [r.component_id for r in found.orderBy("doc_id").collect()] == [x[2] for x in brute_components(texts)]
 
 
+def test_a_cut_block_of_unlinked_sets_is_searched_in_bounded_parts(spark, monkeypatch):
+    """A passage common to all makes one block; hardly any of its sets are linked, so nearly all ask."""
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [" ".join(passage + [f"v{rng.randrange(10**6)}" for _ in range(40)]) for _ in range(100)]
+    texts += [f"{t} end" for t in texts[:20]]
+    block, largest, search = 1500, [], jaccard_join.searched
+
+    def watched(rows):
+        place = [c for c in rows.columns if c in ("block", "chunk", "slice")]
+        held = Counter()
+        for r in rows.select(*place, "text").collect():
+            held[tuple(r[c] for c in place)] += len(shingles_of(r.text))
+        largest.append(max(held.values()))
+        return search(rows)
+
+    monkeypatch.setattr(jaccard_join, "searched", watched)
+    found = jaccard_join.jaccard_join(frame(spark, texts), block)
+    rows = sorted((r.doc_id, r.n_shingles, r.component_id) for r in found.collect())
+    assert rows == brute_components(texts)
+    # chunk and slice are dealt by hash, so either may be somewhat above the block size
+    assert len(largest) == 2 and max(largest) < 4 * block < sum(len(shingles_of(t)) for t in texts)
+
+
 def test_divide_skip_finds_what_brute_force_finds():
     rng = np.random.default_rng(6)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))) for _ in range(80)]
