@@ -21,8 +21,9 @@ STORE = 500_000
 SLICE_BYTES = 6_000_000
 #: Letters below this code point are left as they are by normalisation.
 PLAIN = 0x250
-#: Where a letter meets a sign, the text is split by both kinds of tokenizer.
-LETTER_SIGN = r"(\p{L})([^\s\p{L}\p{N}\x00])"
+#: Where a letter meets a sign, the text is split by both kinds of tokenizer. Combining marks are left out: normalisation
+#: may make one letter of both.
+LETTER_SIGN = r"(\p{L})([\p{P}\p{S}])"
 #: White space other than blank and line feed, long runs of it, and the byte used as a mark.
 ODD = (
     r"[\x00\t\r\x0B\x0C\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"

@@ -53,6 +53,16 @@ def test_ids_equal_the_tokenizer(vocabulary, white):
         assert ids[edges[i] : edges[i + 1]].tolist() == expected, some[i]
 
 
+DECOMPOSED = ["cafe\u0301 noir", "man\u0303ana, n\u0303!", "か\u3099き\u3099 は\u309aん", "Vie\u0323\u0302t a\u0301\u0301b e\u20dd", "x\u0338=\u0338y =\u0338", "ᄒ\u1161\u11ab글", "i\u0307 I\u0307\u0301", " \u0301a\n\u0301b", "ক\u09c7\u09be"]
+
+
+@pytest.mark.parametrize(("vocabulary", "white"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_ids_of_decomposed_letters_equal_the_tokenizer(vocabulary, white):
+    ids, edges = tokens.Encoder(vocabulary, white).encode(pa.array(DECOMPOSED))
+    for i, expected in enumerate(all_plain_ids(vocabulary, DECOMPOSED)):
+        assert ids[edges[i] : edges[i + 1]].tolist() == expected, DECOMPOSED[i]
+
+
 def test_store_of_pieces_starts_anew(monkeypatch):
     monkeypatch.setattr(tokens, "STORE", 3)
     encoder = tokens.Encoder("byte_bpe_50k.json", True)
