@@ -15,7 +15,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
-    token_files.write_files(table(spark, sf_dir, "documents"), path)
+    token_files.write_files(table(spark, sf_dir, "documents"), path, special_ids=True)
     return token_files.read_files(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
@@ -46,7 +46,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents")).select(
+    return packing.pack(table(spark, sf_dir, "documents"), special_ids=True).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 

@@ -144,8 +144,12 @@ def pack(
     max_tokens: int = MAX_TOKENS,
     max_segments: int = MAX_SEGMENTS,
     max_loss: int = MAX_LOSS,
+    special_ids: bool = False,
 ) -> DataFrame:
-    """doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, loss, sequence_id, offset of each piece."""
+    """doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, loss, sequence_id, offset of each piece.
+
+    special_ids: whether the string of a special token in a text becomes its id or is ordinary text.
+    """
     kind = dict(docs.dtypes)["doc_id"]
     first_loss = F.greatest(F.lit(0), F.coalesce(F.col(loss_from), F.lit(0))) if loss_from else F.lit(0)
 
@@ -174,7 +178,7 @@ def pack(
                 if len(out[0]) >= 2000:
                     yield batch_of()
 
-        for rows, ids, edges in tokens.encoded(batches, vocabulary, False, end_id):
+        for rows, ids, edges in tokens.encoded(batches, vocabulary, False, end_id, special_ids):
             id_type = rows.column("doc_id").type
             names, from_ = rows.column("doc_id").to_pylist(), rows.column("first_loss").to_pylist()
             for i, name in enumerate(names):

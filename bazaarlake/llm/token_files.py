@@ -146,8 +146,13 @@ def compress(ids: np.ndarray, base: int) -> Grammar:
     return Grammar(base, np.array(rules, np.uint32).reshape(-1, 2), lengths[base:], symbols)
 
 
-def write_files(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end_id: int = 0) -> None:
-    """Encode every text, append end_id, and write the shards in ascending doc_id order."""
+def write_files(
+    docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end_id: int = 0, special_ids: bool = False
+) -> None:
+    """Encode every text, append end_id, and write the shards in ascending doc_id order.
+
+    special_ids: whether the string of a special token in a text becomes its id or is ordinary text.
+    """
     kind = dict(docs.dtypes)["doc_id"]
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +172,7 @@ def write_files(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json
             ]
             return pa.record_batch(arrays, ["part", "number", "doc_ids", "doc_tokens", "n_ids", "payload"])
 
-        for rows, ids, edges in tokens.encoded(batches, vocabulary, True, end_id):
+        for rows, ids, edges in tokens.encoded(batches, vocabulary, True, end_id, special_ids):
             begin = 0
             while begin < rows.num_rows:
                 room = SHARD_IDS - sum(map(len, held))

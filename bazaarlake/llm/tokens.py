@@ -7,6 +7,7 @@ Texts with white space whose splitting depends on what stands around it are enco
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -32,9 +33,13 @@ ODD = (
 
 
 class Encoder:
-    """vocabulary: a file of the public tokenizers, or a path. white_kept: whether white space becomes ids."""
+    """vocabulary: a file of the public tokenizers, or a path. white_kept: whether white space becomes ids.
 
-    def __init__(self, vocabulary: str, white_kept: bool):
+    special_ids: whether the string of a special token in a text becomes its id, which is the library's default, or is
+    ordinary text.
+    """
+
+    def __init__(self, vocabulary: str, white_kept: bool, special_ids: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -43,7 +48,9 @@ class Encoder:
 
             vocabulary = public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # in pieces; texts with their strings are encoded anew
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = "(?i)" + "|".join(added) if special_ids and added else None
         self.white_kept = white_kept
         # the letters by which byte-level vocabularies write bytes
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -97,24 +104,30 @@ class Encoder:
         before = np.concatenate([[0], np.cumsum(n)])
         ids = flat[np.repeat(first[place] - before[:-1], n) + np.arange(before[-1])]
         edges = before[at]
-        if odd is not None and pc.any(pc.and_(odd, pc.match_substring(column, "\x00"))).as_py():
-            return self.mended(column, ids, edges)
+        # texts that hold the mark itself or the string of a special token
+        anew = None if odd is None else pc.and_(odd, pc.match_substring(column, "\x00"))
+        if self.special:
+            special = pc.match_substring_regex(column, self.special)
+            anew = special if anew is None else pc.or_(anew, special)
+        if anew is not None and pc.any(anew).as_py():
+            return self.mended(column, anew, ids, edges)
         return ids, edges
 
-    def mended(self, column: pa.Array, ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """As encode(), with the texts that hold the mark itself encoded anew."""
+    def mended(self, column: pa.Array, anew: pa.Array, ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As encode(), with some texts encoded anew as a whole."""
         parts = [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        for i, text in enumerate(column.to_pylist()):
-            if "\x00" in text:
-                parts[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        self.tokenizer.encode_special_tokens = self.special is None
+        for i in np.flatnonzero(anew.to_numpy(zero_copy_only=False)).tolist():
+            parts[i] = np.array(self.tokenizer.encode(column[i].as_py(), add_special_tokens=False).ids, np.uint32)
+        self.tokenizer.encode_special_tokens = True
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
 def encoded(
-    batches: Iterator[pa.RecordBatch], vocabulary: str, white_kept: bool, end_id: int
+    batches: Iterator[pa.RecordBatch], vocabulary: str, white_kept: bool, end_id: int, special_ids: bool = False
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Rows with a text, the ids of all their texts with end_id behind each, and the n + 1 places where each begins."""
-    encoder = Encoder(vocabulary, white_kept)
+    encoder = Encoder(vocabulary, white_kept, special_ids)
     for batch in batches:
         for part in bytewords.slices(batch, limit=SLICE_BYTES):
             ids, edges = encoder.encode(part.column("text"))

@@ -63,6 +63,34 @@ def test_ids_of_decomposed_letters_equal_the_tokenizer(vocabulary, white):
         assert ids[edges[i] : edges[i + 1]].tolist() == expected, DECOMPOSED[i]
 
 
+SPECIAL = ["one<|endoftext|>two", "<|endoftext|>", "a <|startoftext|> b\tc", "<|ENDOFTEXT|> x", "x\x00y<|endoftext|>\x00", "plain, text", None]
+
+
+def library_ids(vocabulary, text):
+    return Tokenizer.from_file(public_tokenizers.path(vocabulary)).encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize(("vocabulary", "white"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_special_tokens_have_their_ids(vocabulary, white):
+    ids, edges = tokens.Encoder(vocabulary, white, special_ids=True).encode(pa.array(SPECIAL + texts()))
+    for i, text in enumerate(SPECIAL + texts()[:60]):
+        assert ids[edges[i] : edges[i + 1]].tolist() == library_ids(vocabulary, text), text
+
+
+@pytest.mark.parametrize(("query", "vocabulary", "end"), [("op2_token_files", "byte_bpe_50k.json", 0), ("op8_packing", "word_bpe_49k.json", 1), ("packed", "word_bpe_49k.json", 1)])
+def test_queries_give_special_tokens_their_ids(spark, tmp_path, query, vocabulary, end):
+    docs = frame(spark, SPECIAL)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    run = dict(corpus_pipeline.STAGES).get(query)
+    found = run(spark, docs, str(tmp_path)) if run else QUERIES[query](spark, str(tmp_path))
+    rows = sorted((r.doc_id, r.ids_crc32) for r in found.collect())
+    by_doc = [[*library_ids(vocabulary, t), end] for t in SPECIAL]
+    if query == "op2_token_files":
+        assert rows == [(i, zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in enumerate(by_doc)]
+    else:
+        assert {r.doc_id: r.doc_tokens for r in found.collect()} == {i: len(ids) for i, ids in enumerate(by_doc)}
+
+
 def test_store_of_pieces_starts_anew(monkeypatch):
     monkeypatch.setattr(tokens, "STORE", 3)
     encoder = tokens.Encoder("byte_bpe_50k.json", True)
