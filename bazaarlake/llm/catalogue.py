@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontamination, html_extract, jaccard_join, license_scan, packing, quality_rules, secret_scan, substring_dedup, token_files, url_filter
+from bazaarlake.llm import (
+    decontamination,
+    filter_audit,
+    html_extract,
+    jaccard_join,
+    license_scan,
+    packing,
+    prefix_trie,
+    quality_rules,
+    secret_scan,
+    substring_dedup,
+    token_files,
+    url_filter,
+    warc_archive,
+)
 from bazaarlake.llm.tables import scratch, table
 
 
@@ -67,6 +81,25 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.html_extract(table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.col("conv_id") - F.col("conv_id") % 5
+    shared = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return prefix_trie.prefix_trie(prefix_trie.sequences(table(spark, sf_dir, "conversations"), base, shared, 8))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = filter_audit.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts)
+
+
+def op13_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    warc_archive.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc_archive.read_archive(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_files": op2_token_files,
@@ -78,6 +111,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_html_extract": op10_html_extract,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_warc_archive": op13_warc_archive,
 }
 
 TEMPLATES_SQL = ", ".join(
@@ -240,7 +276,105 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+OP11_SQL = r"""
+WITH named AS (
+  SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS n_bytes,
+    sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS key
+  FROM conversations WHERE conv_id IS NOT NULL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS rank FROM named
+), conv AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda crc, byte:
+    list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y:
+      CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM named)
+), turns AS (
+  SELECT c.conv_id, r.rank AS place, 0 AS part, r.key, r.n_bytes FROM conv c JOIN ranked r ON r.conv_id = c.base AND r.rank <= h
+  UNION ALL
+  SELECT c.conv_id, r.rank, 1, r.key, r.n_bytes FROM conv c JOIN ranked r ON r.conv_id = c.conv_id AND r.rank > h
+), placed AS (
+  SELECT conv_id, key, n_bytes, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth FROM turns
+), paths AS (
+  SELECT conv_id, depth, n_bytes, string_agg(key, '/') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM placed
+  UNION ALL SELECT conv_id, 0, 0, '' FROM conv
+), members AS (
+  SELECT *, lag(path) OVER w AS parent, lead(depth) OVER w IS NULL AS ends FROM paths WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+), nodes AS (
+  SELECT path, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n_bytes) AS n_bytes,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends
+  FROM members GROUP BY path, depth
+), children AS (
+  SELECT parent AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent
+), below AS (
+  SELECT m.path, m.depth, count_if(c.n_children IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.n_bytes) AS saved_tokens
+  FROM nodes n LEFT JOIN children c ON c.path = n.path
+  JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth GROUP BY m.path, m.depth
+)
+SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+  coalesce(c.n_children, 0)::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens,
+  sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below b ON b.path = n.path AND b.depth = n.depth LEFT JOIN children c ON c.path = n.path
+LEFT JOIN nodes p ON p.path = n.parent AND p.depth = n.depth - 1
+"""
+
+OP12_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), first_ids AS (
+  SELECT t, min(doc_id) AS first_id FROM doc GROUP BY t
+), good AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), masks AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc.doc_id > first_id, false)::INT AS mask
+  FROM doc JOIN first_ids USING (t) LEFT JOIN good ON good.doc_id = doc.doc_id
+), counts AS (
+  SELECT part, good, toxic, mask, count(*) AS n FROM masks GROUP BY ALL
+), orders AS (
+  SELECT '' AS filter_order, 0 AS used
+  UNION ALL
+  SELECT filter_order || f, used + bit FROM orders, (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(f, bit)
+  WHERE used & bit = 0
+), steps AS (
+  SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit, list_sum(list_transform(range(1, step),
+    lambda i: 1 << (ascii(filter_order[i]) - 65)))::BIGINT AS before
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders WHERE len(filter_order) = 5)
+), cases AS (
+  SELECT filter_order, step, bit, coalesce(before, 0) AS before FROM steps
+)
+SELECT part, filter_order, step::INT AS step,
+  sum(n * (mask & (before | bit) = 0)::INT)::BIGINT AS kept,
+  sum(n * (mask & before = 0 AND mask & bit > 0)::INT)::BIGINT AS removed,
+  sum(n * (mask & before > 0 AND mask & bit > 0)::INT)::BIGINT AS redundant,
+  sum(n * (mask = bit)::INT)::BIGINT AS unique_fails,
+  sum(n * (mask & before = 0 AND mask & bit > 0 AND good)::INT)::BIGINT AS good_lost,
+  sum(n * (mask & before = 0 AND mask & bit > 0 AND toxic)::INT)::BIGINT AS toxic_lost,
+  sum(CASE WHEN mask & bit > 0 THEN n * 120 // bit_count(mask) ELSE 0 END)::BIGINT AS shapley
+FROM counts CROSS JOIN cases GROUP BY part, filter_order, step
+"""
+
+OP13_SQL = r"""
+WITH page AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), last_ids AS (
+  SELECT payload, max(page_id) AS last_id FROM page GROUP BY payload
+), typed AS (
+  SELECT page_id, payload, last_id, octet_length(payload) >= 1000 AND page_id IS DISTINCT FROM last_id AS again
+  FROM page JOIN last_ids USING (payload)
+)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN last_id END AS refers_to
+FROM typed
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_prefix_trie": OP11_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_warc_archive": OP13_SQL,
     "op7_secret_scan": OP7_SQL,
     "op1_license_scan": OP1_SQL,
     "op9_decontamination": OP9_SQL,
