@@ -29,11 +29,11 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.bytewords import mixed
+from bazaarlake.llm.bytewords import flat, mixed
 from bazaarlake.llm.tables import written
 
 #: (conversation, depth) rows of a subtree that may lie in one shard, unless that makes too many top nodes.
-MOST_ROWS = 1 << 16
+MOST_ROWS = 1 << 12
 TOP_NODES = 1 << 18
 #: Rows that a shard is planned for.
 SHARD_ROWS = 1 << 19
@@ -179,9 +179,10 @@ def _labelled(top: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return label
 
 
-def two_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def two_words(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """16-byte values as two columns of 64-bit numbers."""
-    words = np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, 2)
+    raw, _ = flat(column.combine_chunks())
+    words = raw.copy().view(np.uint64).reshape(-1, 2)
     return words[:, 0], words[:, 1]
 
 
