@@ -5,6 +5,7 @@ All word classes used here end at ASCII bytes only, so they can be found on UTF-
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +21,11 @@ WHITE[[0x20, *range(0x09, 0x0E)]] = True
 TO_LOWER = np.arange(256, dtype=np.uint8)
 TO_LOWER[65:91] += 32
 
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Words of up to so many bytes are hashed eight bytes at a time, all words at once; longer ones by BLAKE2b.
+LONGEST = 64
+#: Byte masks of words that end within eight bytes.
+MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+FACTOR = np.array([0x9E3779B97F4A7C15, 0xD1342543DE82EF95], np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -34,9 +38,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BYTE_VALUE = mixed(np.arange(1, 257, dtype=np.uint64) * BASE)
-
-
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, one after another, and the n + 1 places where they begin. Null counts as empty."""
     column = column.fill_null(b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
@@ -72,20 +73,26 @@ class Words:
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.count)), self.count)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        n = len(self.raw)
-        if not len(self.start):
+    def hashes(self, which: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word's bytes; which chooses one of two that have nothing in common but the input."""
+        length = self.end - self.start
+        if not len(length):
             return np.zeros(0, np.uint64)
-        power = np.full(n, BASE, np.uint64)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_VALUE[self.raw] * power, out=total[1:])
-        back = np.full(n, INVERSE, np.uint64)
-        back[0] = 1
-        np.multiply.accumulate(back, out=back)
-        return mixed((total[self.end] - total[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64))
+        padded = np.concatenate([self.raw, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.raw) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        h = mixed(length.astype(np.uint64) * FACTOR[which] + np.uint64(which + 1))
+        todo = np.flatnonzero(length <= LONGEST)
+        for k in range(0, LONGEST, 8):
+            left = length[todo] - k
+            part = eight[self.start[todo] + k] & MASK[np.minimum(left, 8)]
+            h[todo] = mixed((h[todo] + part) * FACTOR[1]) if which else mixed(h[todo] ^ part)
+            todo = todo[left > 8]
+            if not len(todo):
+                break
+        for i in np.flatnonzero(length > LONGEST).tolist():
+            digest = hashlib.blake2b(self.raw[self.start[i] : self.end[i]], digest_size=16).digest()
+            h[i] = np.frombuffer(digest, np.uint64)[which]
+        return h
 
 
 def words(column: pa.Array, lower: bool = False) -> Words:

@@ -3,7 +3,7 @@
 A count-min sketch goes first. Each task counts its windows in ``DEPTH`` rows of cells that saturate at two; the partial
 sketches are merged cell by cell, and a merged cell says "at most once" or "perhaps twice". Estimates are never
 too low, so a window that any row calls single is single. A second pass sends only the other windows to an exact grouping
-by 80 bits of hash. What a task already sees to be later than a document of its own needs no grouping, so of a very common
+by 80 bits of hash, whose two parts come from different hashes of the words. What a task already sees to be later than a document of its own needs no grouping, so of a very common
 window few rows meet. The sketch is sized by the text and has at most ``MAX_CELLS`` cells a row; a larger text takes its
 windows in several rounds, by hash, each with a sketch of its own. So what is broadcast is bounded and nothing is lost.
 
@@ -68,14 +68,13 @@ def cells(key: np.ndarray, row: int, bits: int) -> np.ndarray:
 
 
 def windows_of(part: pa.RecordBatch, k: int, this: int, rounds: int) -> tuple:
-    """Words, their hashes, and first word and hash of the round's windows."""
+    """Words, and first word and hash of the round's windows."""
     w = bytewords.words(part.column("text"))
-    hashes = w.hashes()
-    begin, key = bytewords.windows(w, hashes, k)
+    begin, key = bytewords.windows(w, w.hashes(), k)
     if rounds > 1:
         mine = key % np.uint64(rounds) == np.uint64(this)
         begin, key = begin[mine], key[mine]
-    return w, hashes, begin, key
+    return w, begin, key
 
 
 def sketch(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> dict[int, bytes]:
@@ -102,7 +101,7 @@ def sketch(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> dict[i
         keys: list[np.ndarray] = []
         for batch in batches:
             for part in bytewords.slices(batch):
-                keys.append(windows_of(part, k, this, rounds)[3])
+                keys.append(windows_of(part, k, this, rounds)[2])
                 if sum(map(len, keys)) >= FLUSH:
                     yield from flushed(keys)
                     keys = []
@@ -158,13 +157,13 @@ def candidates(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> Da
             table[segment * (SEGMENT // 8) : (segment + 1) * (SEGMENT // 8)] = np.frombuffer(read(blob), np.uint8)
         for batch in batches:
             for part in bytewords.slices(batch):
-                w, hashes, begin, key = windows_of(part, k, this, rounds)
+                w, begin, key = windows_of(part, k, this, rounds)
                 for row in range(DEPTH):
                     cell = cells(key, row, bits)
                     bit = table[row * per_row * (SEGMENT // 8) + (cell >> 3)] >> (7 - (cell & 7)).astype(np.uint8)
                     hit = (bit & 1).astype(bool)
                     begin, key = begin[hit], key[hit]
-                second = np.zeros(len(begin), np.uint64)
+                second, hashes = np.zeros(len(begin), np.uint64), w.hashes(1)
                 for j in range(k):
                     second = second * np.uint64(0xD1342543DE82EF95) + hashes[begin + j]
                 second = (bytewords.mixed(second) >> np.uint64(48)).astype(np.uint16)

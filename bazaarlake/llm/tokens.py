@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +24,6 @@ STORE = 500_000
 SLICE_BYTES = 6_000_000
 #: Letters below this code point are left as they are by normalisation.
 PLAIN = 0x250
-#: Where a letter meets a sign, the text is split by both kinds of tokenizer. Combining marks are left out: normalisation
-#: may make one letter of both.
-LETTER_SIGN = r"(\p{L})([\p{P}\p{S}])"
 #: White space other than blank and line feed, long runs of it, and the byte used as a mark.
 ODD = (
     r"[\x00\t\r\x0B\x0C\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -32,6 +31,18 @@ ODD = (
 )
 
 
+@lru_cache(maxsize=1)
+def letter_sign() -> str:
+    """Where a letter meets a sign, the text is split by both kinds of tokenizer.
+
+    Combining marks are no signs here: normalisation may make one letter of both. Letters whose normal form in lower case ends
+    in a mark, like U+0130, are left out too: their mark is split off together with the sign behind it.
+    """
+    letters = (chr(c) for c in range(0x80, 0x30000) if unicodedata.category(chr(c))[0] == "L")
+    marked = [c for c in letters if unicodedata.category(unicodedata.normalize("NFC", c).lower()[-1])[0] == "M"]
+    return rf"([^\P{{L}}{''.join(marked)}])([\p{{P}}\p{{S}}])"
+
+
 class Encoder:
     """vocabulary: a file of the public tokenizers, or a path. white_kept: whether white space becomes ids.
 
@@ -84,13 +95,13 @@ class Encoder:
             odd = pc.match_substring_regex(column, ODD)
             marked = pc.replace_substring(pc.replace_substring(column, " ", "\x00 "), "\n", "\x00\n\x00")
             # an odd text is one piece
-            marked = pc.replace_substring_regex(marked, LETTER_SIGN, "\\1\x00\\2")
+            marked = pc.replace_substring_regex(marked, letter_sign(), "\\1\x00\\2")
             marked = pc.if_else(odd, pc.replace_substring(column, "\x00", "\x01"), marked)
             lists = pc.split_pattern(marked, "\x00")
         else:
             odd = None
             lower = pc.ascii_lower(pc.replace_substring(column, "\n", " "))
-            lists = pc.split_pattern(pc.replace_substring_regex(lower, LETTER_SIGN, r"\1 \2"), " ")
+            lists = pc.split_pattern(pc.replace_substring_regex(lower, letter_sign(), r"\1 \2"), " ")
         coded = lists.flatten().dictionary_encode()
         place = coded.indices.to_numpy()
         pieces = coded.dictionary.to_pylist()
@@ -104,12 +115,15 @@ class Encoder:
         before = np.concatenate([[0], np.cumsum(n)])
         ids = flat[np.repeat(first[place] - before[:-1], n) + np.arange(before[-1])]
         edges = before[at]
-        # texts that hold the mark itself or the string of a special token
-        anew = None if odd is None else pc.and_(odd, pc.match_substring(column, "\x00"))
+        # texts that hold the mark itself, a loose dot above or the string of a special token
+        if odd is None:  # a dot above belongs to a capital I, also across other marks, before it is lower-cased
+            anew = pc.match_substring(column, "\u0307")
+        else:
+            anew = pc.and_(odd, pc.match_substring(column, "\x00"))
         if self.special:
             special = pc.match_substring_regex(column, self.special)
-            anew = special if anew is None else pc.or_(anew, special)
-        if anew is not None and pc.any(anew).as_py():
+            anew = pc.or_(anew, special)
+        if pc.any(anew).as_py():
             return self.mended(column, anew, ids, edges)
         return ids, edges
 

@@ -1,5 +1,7 @@
 """Token files, packing, page text and the pipeline against tokenizers, brute force and held-out pages."""
 
+import random
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -63,6 +65,30 @@ def test_ids_of_decomposed_letters_equal_the_tokenizer(vocabulary, white):
         assert ids[edges[i] : edges[i + 1]].tolist() == expected, DECOMPOSED[i]
 
 
+def marked_letters():
+    """Letters whose normal form by the tokenizer ends in a mark."""
+    normal = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).normalizer
+    letters = [chr(c) for c in range(0x80, 0x2FA20) if unicodedata.category(chr(c))[0] == "L"]
+    forms = normal.normalize_str(" ".join(letters)).split(" ")
+    return [c for c, form in zip(letters, forms, strict=True) if unicodedata.category(form[-1])[0] == "M"]
+
+
+def fuzzed():
+    marked, pick = marked_letters(), random.Random(4)
+    assert "\u0130" in marked and "\u0958" in marked
+    pool = [*marked, *"aZé'.,;!-I ßΣσ\n $…1", "😀", "\u0301", "\u0307", "\u093c", "ALİ'nin", "I\u093c\u0307"]
+    some = ["".join(pick.choice(pool) for _ in range(pick.randrange(1, 14))) for _ in range(4000)]
+    return ["TBMM ve ALİ'nin evi; BELLİ.", *[c + sign for c in marked for sign in "'.$"], *some]
+
+
+@pytest.mark.parametrize(("vocabulary", "white"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_ids_of_letters_that_end_in_marks_equal_the_tokenizer(vocabulary, white):
+    some = fuzzed()
+    ids, edges = tokens.Encoder(vocabulary, white).encode(pa.array(some))
+    for i, expected in enumerate(all_plain_ids(vocabulary, some)):
+        assert ids[edges[i] : edges[i + 1]].tolist() == expected, ascii(some[i])
+
+
 SPECIAL = ["one<|endoftext|>two", "<|endoftext|>", "a <|startoftext|> b\tc", "<|ENDOFTEXT|> x", "x\x00y<|endoftext|>\x00", "plain, text", None]
 
 
@@ -79,16 +105,19 @@ def test_special_tokens_have_their_ids(vocabulary, white):
 
 @pytest.mark.parametrize(("query", "vocabulary", "end"), [("op2_token_files", "byte_bpe_50k.json", 0), ("op8_packing", "word_bpe_49k.json", 1), ("packed", "word_bpe_49k.json", 1)])
 def test_queries_give_special_tokens_their_ids(spark, tmp_path, query, vocabulary, end):
-    docs = frame(spark, SPECIAL)
+    some = SPECIAL + DECOMPOSED + fuzzed()[:400]
+    docs = frame(spark, some)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     run = dict(corpus_pipeline.STAGES).get(query)
     found = run(spark, docs, str(tmp_path)) if run else QUERIES[query](spark, str(tmp_path))
     rows = sorted((r.doc_id, r.ids_crc32) for r in found.collect())
-    by_doc = [[*library_ids(vocabulary, t), end] for t in SPECIAL]
+    by_doc = [[*library_ids(vocabulary, t), end] for t in some]
     if query == "op2_token_files":
         assert rows == [(i, zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in enumerate(by_doc)]
     else:
-        assert {r.doc_id: r.doc_tokens for r in found.collect()} == {i: len(ids) for i, ids in enumerate(by_doc)}
+        for r in found.collect():
+            piece = by_doc[r.doc_id][r.start : r.start + r.length]
+            assert r.doc_tokens == len(by_doc[r.doc_id]) and r.ids_crc32 == zlib.crc32(np.array(piece, "<u4").tobytes())
 
 
 def test_store_of_pieces_starts_anew(monkeypatch):

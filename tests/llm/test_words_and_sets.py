@@ -61,6 +61,36 @@ def test_word_hashes_tell_words_apart():
     assert all(len(x) == 1 for x in of.values()) and len({min(x) for x in of.values()}) == len(of)
 
 
+def twins(n):
+    """A Thue-Morse word of n bytes and its complement: equal under any polynomial hash modulo 2^64 from 1024 bytes on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [8, 16, 64, 65, 1024, 2048])
+def test_word_hashes_tell_twins_apart(n):
+    a, b = twins(n)
+    w = bytewords.words(pa.array([f"{a} {b} {a}", b, "x" * 63 + " " + "x" * 64, "x" * 65]))
+    for which in (0, 1):
+        h = w.hashes(which).tolist()
+        assert h[0] == h[2] and h[1] == h[3] and len(set(h)) == 5
+    assert not set(w.hashes(0).tolist()) & set(w.hashes(1).tolist())
+
+
+def test_twin_words_are_different_words(spark):
+    a, b = twins(2048)
+    rest = [f"w{i}" for i in range(12)]
+    texts = [" ".join([a, *rest]), " ".join([b, *rest])]
+    removed = substring_dedup.substring_dedup(frame(spark, texts)).select("doc_id", "n_removed").collect()
+    assert sorted(map(tuple, removed)) == [(0, 0), (1, 0)]
+    few = [" ".join([a, "b", "c", "d", "e", "f"]), " ".join([b, "b", "c", "d", "e", "f"])]
+    linked = jaccard_join.jaccard_join(frame(spark, few)).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, linked)) == [(0, 0), (1, 1)]
+    repeats = " ".join([a, "x", "y", b, "x", "y"])
+    counted = quality_rules.quality_rules(frame(spark, [repeats]), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert counted.select("n_repeat_words").first()[0] == 0
+
+
 def test_windows_stay_in_their_text():
     texts = some_texts(2)
     w = bytewords.words(pa.array(texts))
