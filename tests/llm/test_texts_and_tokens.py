@@ -1,6 +1,7 @@
 """Token files, packing, page text and the pipeline against tokenizers, brute force and held-out pages."""
 
 import random
+import time
 import unicodedata
 import zlib
 from collections import defaultdict
@@ -245,6 +246,17 @@ def test_blocks_of_broken_pages():
     assert text("<title>t</title><p>&nbsp; \n</p>&#233;&eacute") == ["éé"]
 
 
+DEEP = ["<div>x" * 20_000, "<b>" * 20_000 + "<p>x" * 20_000, "<i><div>" * 10_000 + "x" + "</b>" * 20_000, "".join(f"<t{i}>x" for i in range(20_000))]
+
+
+@pytest.mark.parametrize("html", DEEP, ids=["blocks", "inline then blocks", "unmatched ends", "unknown names"])
+def test_deep_pages_take_time_in_proportion(html):
+    begun = time.process_time()
+    blocks = html_blocks.blocks_of(html)
+    assert time.process_time() - begun < 10
+    assert "".join(b.text for b in blocks) == "x" * html.count("x")
+
+
 def test_page_text_of_null_repeated_and_no_rows(spark):
     html = "<article><p>One sentence here, with words. And another one, quite long too.</p></article>"
     pages = spark.createDataFrame([(1, "u", html, "x"), (1, "u", html, "x"), (None, None, None, None), (2, "v", "", "y")], "page_id long, url string, html string, text string")
