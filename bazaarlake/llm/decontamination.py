@@ -1,8 +1,10 @@
 """Benchmark decontamination: training text that repeats a window of words of a benchmark item.
 
-The windows of all items become a set of hashed word n-grams, broadcast while it is small and joined by hash beyond
-that. Every position of every training text looks up the hash of the words that follow it; a hit counts only if the words
-themselves are equal. Only built-in functions are used.
+The windows of all items become a set of hashed word n-grams. Every position of every training text looks up the hashes of the words
+that follow it, one for each size of windows, in one scan; a hit counts only if the words themselves are equal. Up to
+``BROADCAST_BYTES`` the set is broadcast with its words. A larger one is joined by hash with narrow rows (document, place, hash), and
+the places found are then verified against the texts, so that texts are shuffled once and not for each of their words.
+Only built-in functions are used.
 
 Defined results: null or empty text has no words and no hits; an item without words has no windows; items with
 equal windows are all reported; rows with one id and one text are one document and give one row; a null id is an id of
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 from bazaarlake.llm.word_columns import words
 
 N = 10
-#: Windows that are broadcast at most: about 250 bytes each.
-BROADCAST_WINDOWS = 400_000
+#: Bytes of windows that are broadcast at most, with what a row of the hash table takes besides its words.
+BROADCAST_BYTES = 100_000_000
+ROW_BYTES = 150
 
 
 def gram_hash(tokens: Column, at: Column, size: int) -> Column:
@@ -49,9 +52,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = N) -> tuple[DataFrame,
     window_id = F.md5(F.concat_ws(" ", "gram"))
     of_items = of_items.withColumn("window_id", window_id)
     windows = of_items.select("key", "size", "gram", "window_id").distinct()
-    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect()) or [n]  # n numbers at most
-    if windows.count() <= BROADCAST_WINDOWS:
-        windows = F.broadcast(windows)
+    by_size = windows.groupBy("size").agg(F.sum(ROW_BYTES + F.octet_length(F.array_join("gram", " "))).alias("bytes")).collect()
+    sizes = sorted(r["size"] for r in by_size) or [n]  # n numbers at most
 
     read = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w"))
     # place 0 is there also for a text without words
@@ -59,23 +61,26 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = N) -> tuple[DataFrame,
         "doc_id",
         "text_key",
         "w",
+        F.size("w").alias("n_words"),
         F.posexplode(F.when(F.size("w") > 0, F.col("w")).otherwise(F.array(F.lit("")))).alias("at", "word"),
     )
-    found = None
-    for size in sizes:
-        here = placed.withColumn("doc_key", gram_hash(F.col("w"), F.col("at"), size))
-        fits = windows.where(F.col("size") == size) if len(sizes) > 1 else windows
-        same = (
-            (F.col("doc_key") == F.col("key"))
-            & (F.col("at") + F.col("size") <= F.size("w"))
-            & (F.slice("w", F.col("at") + 1, F.col("size")) == F.col("gram"))
+    keys = F.array(*[F.struct(F.lit(s).alias("of_size"), gram_hash(F.col("w"), F.col("at"), s).alias("doc_key")) for s in sizes])
+    keyed = placed.select("doc_id", "text_key", "w", "n_words", "at", F.inline(keys))
+    fits = (F.col("doc_key") == F.col("key")) & (F.col("of_size") == F.col("size")) & (F.col("at") + F.col("of_size") <= F.col("n_words"))
+    same = F.slice("w", F.col("at") + 1, F.col("size")) == F.col("gram")
+    one = (F.col("at") == 0) & (F.col("of_size") == sizes[0])
+    columns = ["doc_id", "text_key", "n_words", "at", "size", "window_id"]
+    if sum(r["bytes"] for r in by_size) <= BROADCAST_BYTES:
+        found = keyed.join(F.broadcast(windows), fits & same, "left").where(F.col("window_id").isNotNull() | one).select(*columns)
+    else:
+        narrow = keyed.select("doc_id", "text_key", "n_words", "at", "of_size", "doc_key")
+        places = narrow.join(windows, fits).select(
+            F.col("doc_id").alias("its_id"), F.col("text_key").alias("its_key"), "at", "size", "gram", "window_id"
         )
-        some = (
-            here.join(fits, same, "left")
-            .where(F.col("window_id").isNotNull() | (F.col("at") == 0))
-            .select("doc_id", "text_key", F.size("w").alias("n_words"), "at", "size", "window_id")
-        )
-        found = some if found is None else found.union(some)
+        of_doc = F.col("doc_id").eqNullSafe(F.col("its_id")) & F.col("text_key").eqNullSafe(F.col("its_key"))
+        all_docs = read.select("doc_id", "text_key", F.size("w").alias("n_words"), F.lit(0).alias("at"), F.lit(sizes[0]).alias("size"))
+        hit = read.withColumn("n_words", F.size("w")).join(places.distinct(), of_doc).where(same).select(*columns)
+        found = hit.union(all_docs.withColumn("window_id", F.lit(None).cast("string")))
     return found, of_items.select("window_id", "item_id").distinct()
 
 

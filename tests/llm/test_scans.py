@@ -192,11 +192,37 @@ def test_decontamination_equals_brute_force(spark):
     assert {r.doc_id for r in clean.collect()} == {i for i, _, h, _ in rows if not h} and "hit_id" in clean.columns
 
 
-def test_decontamination_joins_by_hash_beyond_the_bound(spark, monkeypatch):
-    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
-    text = " ".join(f"w{i}" for i in range(15))
-    benchmark = spark.createDataFrame([(1, text)], "item_id long, text string")
-    assert [r.n_hit for r in decontamination.scan(frame(spark, [f"x {text} y", "z"]), benchmark).orderBy("doc_id").collect()] == [15, 0]
+@pytest.mark.parametrize("bound", [0, decontamination.BROADCAST_BYTES])
+def test_decontamination_gives_the_same_on_both_sides_of_the_bound(spark, monkeypatch, bound):
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", bound)
+    items = [(n, " ".join(f"w{n + i}" for i in range(n))) for n in range(1, 12)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [None, "", "w1", "z", f"x {items[9][1]} y", f"{items[4][1]} {items[10][1]}", items[9][1], items[9][1]]
+    docs = frame(spark, texts, [0, 1, 2, 3, 4, 5, 6, 6])
+    rows = sorted((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in decontamination.scan(docs, benchmark).collect())
+    assert rows == [(i, w, h, n) for i, w, h, n in brute_contamination(texts[:7], items)]
+    clean = decontamination.decontaminated(docs, benchmark)
+    assert {r.doc_id for r in clean.collect()} == {i for i, _, h, _ in rows if not h}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_decontamination_scans_once_and_shuffles_no_text_by_word(spark, monkeypatch, tmp_path):
+    frame(spark, ["a b", "c"]).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    benchmark = spark.createDataFrame([(n, " ".join(f"w{n + i}" for i in range(n))) for n in range(1, 12)], "item_id long, text string")
+    found, _ = decontamination.hits(docs, benchmark)
+    assert plan_of(found).count("FileScan") == 1
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 0)
+    found, _ = decontamination.hits(docs, benchmark)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    (at,) = [i for i, line in enumerate(plan) if "Generate inline" in line]
+    above = plan[at - 1]  # what goes on from each word of a text
+    assert "Filter" in above or "Project" in above
+    joined = next(line for line in reversed(plan[:at]) if "Project" in line or "Generate" in line)
+    assert "doc_key" in joined and not re.search(r"\bw#", joined), joined
 
 
 def test_decontamination_of_repeated_null_and_no_rows(spark):
