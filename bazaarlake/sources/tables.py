@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlake.schemas import AUDIT, ENTITIES, RAW_SCHEMAS
 from bazaarlake.session import scratch_path
+from bazaarlake.sources import versions
 
 AUDIT_TABLE = "ingestion_audit"
 WATERMARK_TABLE = "ingestion_watermarks"
@@ -63,20 +62,21 @@ def table_exists(spark: SparkSession, namespace: str, name: str) -> bool:
 def overwrite_table(df: DataFrame, namespace: str, name: str) -> int:
     """Replace the table and return the rows written, counted during the write.
 
-    The new rows are written beside the old ones and then take their name, so a write that fails
-    leaves the table as it was, and a table may be replaced by what is read from it.
+    The new rows are a version of their own, to which the name then points (see ``versions``). So a write that fails
+    leaves the table as it was, a reader finds the old or the new one at any time, and a table may be replaced by what is
+    read from it.
     """
-    spark, fresh = df.sparkSession, f"`{namespace}`.`{name}__{uuid.uuid4().hex[:12]}`"
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO `{namespace}`.`{name}`")
-    return seen.get["rows"]
+    return versions.publish(df, namespace, name).rows
 
 
 def append_table(df: DataFrame, namespace: str, name: str) -> None:
-    df.write.mode("append").saveAsTable(f"`{namespace}`.`{name}`")
+    """Append to the version that the name points at; the first append makes it."""
+    spark = df.sparkSession
+    version = versions.current_version(spark, namespace, name)
+    if version is None and not table_exists(spark, namespace, name):
+        versions.publish(df, namespace, name)
+    else:
+        df.write.mode("append").saveAsTable(f"`{namespace}`.`{version or name}`")
 
 
 def create_append_tables(spark: SparkSession, namespace: str) -> None:
@@ -117,5 +117,4 @@ def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
 
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Remove what ``written`` left, once nothing reads it any more."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    versions.remove_folder(spark, path)
