@@ -47,6 +47,31 @@ def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFra
     return df.withColumn(RANK, F.row_number().over(window)).filter(F.col(RANK) == 1).drop(RANK)
 
 
+def versioned(
+    history: DataFrame | None, ingest: DataFrame, schema: T.StructType, version: Column, text_keys: Sequence[str] = ()
+) -> DataFrame:
+    """History and appended versions in one frame, with what decides between versions of a key.
+
+    The text keys are cleaned, where given, so that a window over them sees one spelling.
+    """
+    both = ingest.select(*conform(ingest, schema), F.lit(1).alias(PRIORITY), version.alias(VERSION))
+    if history is not None:
+        first = F.lit(EPOCH).cast("timestamp").alias(VERSION)
+        both = history.select(*conform(history, schema), F.lit(0).alias(PRIORITY), first).unionByName(both)
+    return both.withColumns({k: clean_text(F.col(k)) for k in text_keys}) if text_keys else both
+
+
+def newest(versions: DataFrame, keys: Sequence[str], schema: T.StructType) -> DataFrame:
+    """The row of each key that counts, still with its priority and version: what is newest of parts is newest of the whole."""
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    order = [F.col(c).desc_nulls_last() for c in (PRIORITY, VERSION, *rest)]
+    return first_per_key(versions, keys, *order)
+
+
+def text_keys(keys: Sequence[str], schema: T.StructType) -> list[str]:
+    return [k for k in keys if isinstance(schema[k].dataType, T.StringType)]
+
+
 def latest_per_key(
     history: DataFrame,
     ingest: DataFrame,
@@ -61,16 +86,5 @@ def latest_per_key(
     ``version`` wins. Equal versions are settled by the remaining columns in
     descending order, so the choice does not depend on row order.
     """
-    old = history.select(
-        *conform(history, schema),
-        F.lit(0).alias(PRIORITY),
-        F.lit(EPOCH).cast("timestamp").alias(VERSION),
-    )
-    new = ingest.select(*conform(ingest, schema), F.lit(1).alias(PRIORITY), version.alias(VERSION))
-    both = old.unionByName(new)
-    if normalize_keys:
-        text_keys = [k for k in keys if isinstance(schema[k].dataType, T.StringType)]
-        both = both.withColumns({k: clean_text(F.col(k)) for k in text_keys})
-    rest = [f.name for f in schema.fields if f.name not in keys]
-    order = [F.col(c).desc_nulls_last() for c in (PRIORITY, VERSION, *rest)]
-    return first_per_key(both, keys, *order).drop(PRIORITY, VERSION)
+    cleaned = text_keys(keys, schema) if normalize_keys else ()
+    return newest(versioned(history, ingest, schema, version, cleaned), keys, schema).drop(PRIORITY, VERSION)

@@ -22,14 +22,23 @@ def _key(name: str, normalized: bool):
     return F.col(name) if normalized else clean_text(F.col(name)).alias(name)
 
 
-def _latest(history, ingest, entity, schema, normalize_keys, version=None):
-    version = F.col("_ingested_at") if version is None else version
-    return latest_per_key(history, ingest, S.ENTITY[entity].keys, schema, version, normalize_keys)
+def _latest(history, ingest, entity, normalize_keys):
+    version = version_of(entity)
+    return latest_per_key(history, ingest, S.ENTITY[entity].keys, S.RECORD[entity], version, normalize_keys)
+
+
+def version_of(entity: str):
+    """What orders the appended versions of a record."""
+    if entity == "customers":
+        return F.coalesce(F.col("updated_at").try_cast("timestamp"), F.col("_ingested_at"))
+    return F.col("_ingested_at")
 
 
 def stg_customers(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
-    changed = F.coalesce(F.col("updated_at").try_cast("timestamp"), F.col("_ingested_at"))
-    rows = _latest(history, ingest, "customers", S.CUSTOMERS, normalize_keys, changed)
+    return cleaned_customers(_latest(history, ingest, "customers", normalize_keys), normalize_keys)
+
+
+def cleaned_customers(rows: DataFrame, normalize_keys: bool = False) -> DataFrame:
     text = ["customer_unique_id", "customer_zip_code_prefix", "customer_city"]
     return rows.select(
         _key("customer_id", normalize_keys),
@@ -39,7 +48,10 @@ def stg_customers(history: DataFrame, ingest: DataFrame, normalize_keys: bool =
 
 
 def stg_orders(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
-    rows = _latest(history, ingest, "orders", S.ORDERS, normalize_keys)
+    return cleaned_orders(_latest(history, ingest, "orders", normalize_keys), normalize_keys)
+
+
+def cleaned_orders(rows: DataFrame, normalize_keys: bool = False) -> DataFrame:
     return rows.select(
         _key("order_id", normalize_keys),
         clean_text(F.col("customer_id")).alias("customer_id"),
@@ -53,7 +65,10 @@ def stg_orders(history: DataFrame, ingest: DataFrame, normalize_keys: bool = Fal
 
 
 def stg_order_items(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
-    rows = _latest(history, ingest, "order_items", S.ORDER_ITEMS, normalize_keys)
+    return cleaned_order_items(_latest(history, ingest, "order_items", normalize_keys), normalize_keys)
+
+
+def cleaned_order_items(rows: DataFrame, normalize_keys: bool = False) -> DataFrame:
     return rows.select(
         _key("order_id", normalize_keys),
         "order_item_id",
@@ -66,7 +81,10 @@ def stg_order_items(history: DataFrame, ingest: DataFrame, normalize_keys: bool
 
 
 def stg_payments(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
-    rows = _latest(history, ingest, "payments", S.PAYMENTS, normalize_keys)
+    return cleaned_payments(_latest(history, ingest, "payments", normalize_keys), normalize_keys)
+
+
+def cleaned_payments(rows: DataFrame, normalize_keys: bool = False) -> DataFrame:
     return rows.select(
         _key("order_id", normalize_keys),
         "payment_sequential",
@@ -77,7 +95,10 @@ def stg_payments(history: DataFrame, ingest: DataFrame, normalize_keys: bool = F
 
 
 def stg_products(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
-    rows = _latest(history, ingest, "products", S.PRODUCTS, normalize_keys)
+    return cleaned_products(_latest(history, ingest, "products", normalize_keys), normalize_keys)
+
+
+def cleaned_products(rows: DataFrame, normalize_keys: bool = False) -> DataFrame:
     return rows.select(
         _key("product_id", normalize_keys),
         "product_category_name",
@@ -92,7 +113,10 @@ def stg_products(history: DataFrame, ingest: DataFrame, normalize_keys: bool = F
 
 
 def stg_reviews(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
-    rows = _latest(history, ingest, "reviews", S.REVIEWS, normalize_keys)
+    return cleaned_reviews(_latest(history, ingest, "reviews", normalize_keys), normalize_keys)
+
+
+def cleaned_reviews(rows: DataFrame, normalize_keys: bool = False) -> DataFrame:
     return rows.select(
         _key("review_id", normalize_keys),
         _key("order_id", normalize_keys),
@@ -105,7 +129,10 @@ def stg_reviews(history: DataFrame, ingest: DataFrame, normalize_keys: bool = Fa
 
 
 def stg_sellers(history: DataFrame, ingest: DataFrame, normalize_keys: bool = False) -> DataFrame:
-    rows = _latest(history, ingest, "sellers", S.SELLERS, normalize_keys)
+    return cleaned_sellers(_latest(history, ingest, "sellers", normalize_keys), normalize_keys)
+
+
+def cleaned_sellers(rows: DataFrame, normalize_keys: bool = False) -> DataFrame:
     return rows.select(
         _key("seller_id", normalize_keys),
         "seller_zip_code_prefix",
@@ -122,3 +149,15 @@ def stg_geolocation(history: DataFrame) -> DataFrame:
         F.col("geolocation_lat").try_cast("double").alias("latitude"),
         F.col("geolocation_lng").try_cast("double").alias("longitude"),
     )
+
+
+#: From the latest raw records of an entity to its staged rows.
+CLEANED = {
+    "customers": cleaned_customers,
+    "orders": cleaned_orders,
+    "order_items": cleaned_order_items,
+    "payments": cleaned_payments,
+    "products": cleaned_products,
+    "reviews": cleaned_reviews,
+    "sellers": cleaned_sellers,
+}

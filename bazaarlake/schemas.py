@@ -154,3 +154,6 @@ def landing_schema(entity: Entity) -> T.StructType:
     if entity.parent is None:
         return entity.schema
     return plus(entity.schema, T.StructType([ENTITY[entity.parent].schema[entity.watermark_column]]))
+
+#: The columns of a staged record of each entity, before cleaning.
+RECORD = {**{name: schema for name, schema in RAW_SCHEMAS.items() if name in ENTITY}, "reviews": REVIEWS}

@@ -17,13 +17,15 @@ from bazaarlake.operators.latest import EPOCH, conform
 from bazaarlake.operators.quality import run_checks
 from bazaarlake.plans import checks, ingest
 from bazaarlake.plans.build import build_models
+from bazaarlake.plans.touched import TouchedModels
 from bazaarlake.schemas import ENTITIES, ENTITY
 from bazaarlake.session import scratch_path
 from bazaarlake.sources import csv_files, ingest_log, landing, tables
 from bazaarlake.streaming import feed
-from shopfixture.catalogue import query
+from shopfixture.catalogue import ITEM_MONEY, ORDER_MONEY, query, replaced
 from shopfixture.models import Models
 from shopfixture.oracle import VIEWS, dbl
+from shopfixture.shop import FIRST_FEED, SECOND_FEED
 
 CLOCK = datetime(2002, 2, 1, tzinfo=timezone.utc)
 BATCH = "20020201T000000_0000abcd"
@@ -644,6 +646,43 @@ def _(m):
     return run_checks(build_models(m.spark, layers), checks.suite())
 
 
+# ---------------------------------------------------------------- builds of touched keys
+
+
+def second_day(m: Models) -> TouchedModels:
+    """The first build has history and the first day's feed; the second one takes in the next day's batch."""
+    layers = workspace(m)
+    for name in S.RAW_SCHEMAS:
+        tables.overwrite_table(m.raw(name), layers.raw, name)
+    models = TouchedModels(m.spark, layers, buckets=8)
+    for day, arrival in (("day1", FIRST_FEED), ("day2", SECOND_FEED)):
+        for entity in ENTITIES:
+            rows = m.ingest(entity.name).where(F.col("_ingested_at") == arrival).withColumn("_batch_id", F.lit(day))
+            tables.append_table(rows, layers.raw, entity.ingest_table)
+        models.build()
+    return models
+
+
+@query("t02_touched_orders", "SELECT * FROM stg_orders")
+def _(m):
+    return second_day(m).staged("orders")
+
+
+@query("n05_touched_orders_enriched", replaced("enriched", ORDER_MONEY))
+def _(m):
+    return second_day(m).model("int_orders_enriched")
+
+
+@query("m01_touched_fct_orders", replaced("fct_orders", f"{ORDER_MONEY} payment_item_value_difference"))
+def _(m):
+    return second_day(m).model("fct_orders")
+
+
+@query("m02_touched_fct_order_items", replaced("fct_order_items", f"{ITEM_MONEY} item_total_value"))
+def _(m):
+    return second_day(m).model("fct_order_items")
+
+
 # ---------------------------------------------------------------- maintenance
 
 
