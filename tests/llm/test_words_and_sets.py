@@ -305,14 +305,20 @@ def test_quality_counts_and_scores_equal_brute_force(spark):
         assert r.kept == (not r.base_failed and r.score >= model.threshold)
     # the model in plain Python
     bucket = lambda g: (int.from_bytes(g, "big") * 2654435769 % 2**32) >> 16
-    grams = [[bucket((t or "").encode()[i : i + 3]) for i in range(len((t or "").encode()) - 2)] for t in texts]
+    byte_grams = [[bucket((t or "").encode()[i : i + 3]) for i in range(len((t or "").encode()) - 2)] for t in texts]
+    hash_of = lambda t: (bytewords.words(pa.array([t or ""])).hashes() >> np.uint64(46)).tolist()
+    word_grams = [hash_of(t) for t in texts]
     sample = {r.doc_id: r for r in quality_rules.labelled_sample(labels).collect()}
-    raw = Counter(g for x in grams for g in x)
-    target = Counter(g for i, x in enumerate(grams) if i in sample and sample[i].good and sample[i].fit for g in x)
-    total, whole = sum(target.values()) + 65536, sum(raw.values()) + 65536
+    expected = [0.0] * len(texts)
+    for grams in (byte_grams, word_grams):
+        raw = Counter(g for x in grams for g in x)
+        target = Counter(g for i, x in enumerate(grams) if i in sample and sample[i].good and sample[i].fit for g in x)
+        share = sum(target.values()) / sum(raw.values())
+        for i, x in enumerate(grams):
+            own = [round(math.log((target[g] + 4) / (raw[g] * share + 4)) * 65536) for g in x]
+            expected[i] += sum(own) / max(1, len(own)) / 65536
     for i in (0, 5, 41, 85, 100):
-        own = [round((math.log((target[g] + 1) / total) - math.log((raw[g] + 1) / whole)) * 65536) for g in grams[i]]
-        assert rows[i].score == pytest.approx(sum(own) / max(1, len(own)) / 65536, abs=1e-9)
+        assert rows[i].score == pytest.approx(expected[i], abs=1e-6)
     assert all(rows[i].kept for i in range(40)) and not any(rows[i].kept for i in range(40, 80))
     kept = quality_rules.keep_good(docs, labels, model)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in rows.items() if r.kept}
@@ -325,6 +331,19 @@ def test_quality_without_labels_and_with_odd_rows(spark):
     assert rows == [(0, 61, 0.0, True), (1, 0, 0.0, False), (1, 0, 0.0, False)]
 
 
+def test_quality_on_held_out_labels(spark):
+    """Documents that are neither in the target nor used for the threshold: half of the labels are kept from the model."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    seen = F.xxhash64("doc_id", F.lit("held out")) % 2 == 0
+    model = quality_rules.fit(docs, labels.where(seen))
+    judged = quality_rules.quality_rules(docs.join(labels.where(~seen).select("doc_id"), "doc_id", "left_semi"), labels, model)
+    found = judged.where("not base_failed").join(labels, "doc_id").groupBy("quality", "toxic").agg(F.avg(F.col("kept").cast("double")).alias("kept"), F.count("*").alias("n"))
+    kept = {(r.quality, r.toxic): r.kept for r in found.collect()}
+    print({(r.quality, r.toxic): (r.kept, r.n) for r in found.collect()})
+    assert kept[1, 0] > 0.98 and kept[0, 0] < 0.1 and kept[0, 1] < 0.1 and kept[1, 1] < 0.5
+
+
 def test_contradicting_labels_count_as_bad(spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 1, None), (3, None, 0), (None, 1, 0), (4, 1, 1)], "doc_id long, quality int, toxic int")
     assert {(r.doc_id, r.good) for r in quality_rules.labelled_sample(labels).collect()} == {(1, False), (2, True), (4, False)}
