@@ -1,7 +1,7 @@
 """Token-id files with Re-Pair grammar compression.
 
 Ids are gathered in ascending id order into shards of about ``SHARD_IDS``. In a shard the most frequent pairs of
-neighbouring symbols become new symbols, round after round. A round takes many pairs at once, such that no symbol is the
+neighbouring symbols become new symbols, round after round, until no pair occurs ``LEAST_COUNT`` times. A round takes many pairs at once, such that no symbol is the
 left part of one and the right part of another, so that their places can't overlap; runs of one symbol are paired from
 their start. A shard stores the rules, the expansion length of every new symbol, the compressed symbols and the length of each
 document. The lengths tell where a document begins among the symbols, so one can be read without expanding the rest.
@@ -31,7 +31,6 @@ from bazaarlake.llm import tokens
 MAGIC = b"REPAIR1\x00"
 #: Ids of a shard, about: a document is never cut.
 SHARD_IDS = 2_000_000
-ROUNDS = 6
 RULES_A_ROUND = 2048
 LEAST_COUNT = 16
 #: Pairs are counted in so many buckets at first, and exactly in the fullest ones.
@@ -108,9 +107,9 @@ def chosen_pairs(left: np.ndarray, right: np.ndarray, n_symbols: int) -> list[in
 
 def compress(ids: np.ndarray, base: int) -> Grammar:
     symbols, rules, lengths = ids.astype(np.uint32), [], np.ones(base, np.int64)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2 * LEAST_COUNT:
-            break
+    if len(ids) and int(ids.max()) >= base:
+        raise ValueError(f"token ids must be below {base}")
+    while len(symbols) >= 2 * LEAST_COUNT:
         code = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
         # pairs that share a bucket are counted together first: one of the most frequent pairs lies in one of the fullest
         bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)

@@ -141,6 +141,16 @@ def test_repair_round_trip_and_random_access():
             assert (grammar.read(begin, end) == ids[begin:end]).all()
     short = token_files.compress(np.array([1, 2] * 500, np.uint32), token_files.FIRST_SYMBOL)
     assert len(short.symbols) < 100
+    with pytest.raises(ValueError, match="below"):
+        token_files.compress(np.array([token_files.FIRST_SYMBOL], np.uint32), token_files.FIRST_SYMBOL)
+
+
+def test_copies_shrink_until_no_pair_is_frequent():
+    text = np.random.default_rng(2).integers(0, 50257, 700).astype(np.uint32)
+    grammar = token_files.compress(np.tile(text, 1000), token_files.FIRST_SYMBOL)
+    assert (grammar.expand(grammar.symbols) == np.tile(text, 1000)).all()
+    pairs = np.unique(np.stack([grammar.symbols[:-1], grammar.symbols[1:]]), axis=1, return_counts=True)[1] if len(grammar.symbols) > 1 else np.zeros(1)
+    assert pairs.max() < 2 * token_files.LEAST_COUNT and len(grammar.to_bytes()) < 15 * 700
 
 
 def test_a_damaged_shard_is_an_error():
