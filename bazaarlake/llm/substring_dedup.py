@@ -20,10 +20,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import bytewords
+from bazaarlake.llm.tables import written
 
 K = 13
 DEPTH = 2
@@ -142,12 +144,11 @@ def sketch(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> dict[i
     return {r["segment"]: bytes(r["twice"]) for r in parts.toLocalIterator()}  # DEPTH * MAX_CELLS bits at most
 
 
-def candidates(docs: DataFrame, k: int, bits: int, this: int, rounds: int) -> DataFrame:
+def candidates(docs: DataFrame, k: int, bits: int, shared: Broadcast, this: int, rounds: int) -> DataFrame:
     """(high, low, doc_id, tag, pos, run, sure) of the windows that the sketch calls perhaps repeated.
 
     Sure: a task has seen the window in a document with a smaller id; run neighbouring ones are one row, dealt out by chance.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(sketch(docs, k, bits, this, rounds))
     per_row = (1 << bits) // SEGMENT
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,9 +211,14 @@ def tagged(docs: DataFrame) -> DataFrame:
 def later_windows(docs: DataFrame, k: int = K, max_cells: int = MAX_CELLS) -> DataFrame:
     """(doc_id, tag, pos, run): run windows from pos on whose words also start in documents with smaller ids."""
     bits, rounds = plan(docs, max_cells)
-    found = candidates(docs, k, bits, 0, rounds)
-    for this in range(1, rounds):
-        found = found.union(candidates(docs, k, bits, this, rounds))
+    found = None
+    for this in range(rounds):
+        shared = docs.sparkSession.sparkContext.broadcast(sketch(docs, k, bits, this, rounds))
+        some = candidates(docs, k, bits, shared, this, rounds)
+        if rounds > 1:  # one sketch at a time is held
+            some = written(some)
+            shared.destroy()
+        found = some if found is None else found.union(some)
     # sorted and streamed: no group is held in memory
     first = F.first("doc_id").over(
         Window.partitionBy("high", "low", "sure").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
