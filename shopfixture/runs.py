@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from bazaarlake import schemas as S
 from bazaarlake.functions.expr import record_hash
 from bazaarlake.operators import incremental, maintenance, pages
+from bazaarlake.operators.fused_checks import run_fused
 from bazaarlake.operators.latest import EPOCH, conform
 from bazaarlake.operators.quality import run_checks
 from bazaarlake.plans import bitmaps, checks, committed, ingest
@@ -769,6 +770,14 @@ def _(m):
     return run_checks(build_models(m.spark, layers), checks.suite())
 
 
+@query("q09_fused_checks", " UNION ALL ".join(check_sql(c) for c in checks.suite()))
+def _(m):
+    """The same suite with one scan for a model's rows and one for each of its keys."""
+    layers = workspace(m)
+    fill_raw(m, layers.raw)
+    return run_fused(build_models(m.spark, layers), checks.suite())
+
+
 # ---------------------------------------------------------------- builds of touched keys
 
 
