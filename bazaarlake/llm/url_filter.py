@@ -24,11 +24,14 @@ from pyspark.sql import functions as F
 from bazaarlake.llm.word_columns import UPPER
 
 BUCKETS = 1 << 14
+TO_LOWER = str.maketrans(UPPER, UPPER.lower())
 SIZES = (2, 3, 4)
 DIGITS = re.compile("[0-9]+")
 STEPS = 400
 RATE = 0.5
 PENALTY = 1e-3
+#: Likelihood from which an address is blocked: a needless block counts more than a missed one.
+BLOCK_AT = 0.6
 
 
 @dataclass(frozen=True)
@@ -47,123 +50,120 @@ RULES = (
     Rule("block", "com", "/de/"),
 )
 
-# Invented addresses labelled by hand; 1 is unwanted.
+# Invented addresses labelled by hand, by what such sites commonly offer; 1 is unwanted.
 LABELLED = (
-    ("https://www.riverside-news.example/en/2041", 0),
-    ("http://blog.gardenpath.example/spring-planting.html", 0),
-    ("https://m.townlibrary.example/de/318", 0),
-    ("http://mountain-trails.example/fr/routes/77", 0),
-    ("https://docs.opentools.example/guide/install/", 0),
-    ("http://www.schoolbooks.example/es/512/", 0),
-    ("https://history.museum.example/en/rooms/9", 0),
-    ("http://weather.coast.example/today", 0),
-    ("https://recipes.kitchen.example/soup/14.html", 0),
-    ("http://www.railway-times.example/en/645?page=2", 0),
-    ("https://astronomy.club.example/articles/comet", 0),
-    ("http://blog.thinker.example/es/978", 0),
-    ("https://university.example/departments/physics/", 0),
-    ("http://thenews.example/en/453", 0),
-    ("https://m.music-review.example/fr/825", 0),
-    ("http://www.healthcentre.example/advice/sleep.html", 0),
-    ("https://blog.woodwork.example/en/853/", 0),
-    ("http://birdwatch.example/de/770", 0),
-    ("https://citycouncil.example/minutes/2020", 0),
-    ("http://language-notes.example/es/384", 0),
-    ("https://www.opera-house.example/programme/", 0),
-    ("http://science-daily.example/en/148.html", 0),
-    ("https://forum.cyclists.example/thread/41", 0),
-    ("http://blog.there.example/fr/414", 0),
-    ("https://theatre.example/en/762", 0),
-    ("http://therapy-journal.example/articles/12", 0),
-    ("https://farm-museum.example/en/visit", 0),
-    ("http://www.cheapside-parish.example/history", 0),
-    ("https://blog.tidelands.example/en/7817?utm_source=feed", 0),
-    ("http://m.thistle-farm.example/en/1570?page=2", 0),
-    ("https://www.thatched-roofs.example/en/1837/", 0),
-    ("http://m.winter-sports.example/es/4033.html", 0),
-    ("https://www.beta-readers.example/fr/16", 0),
-    ("http://blog.racetracks-history.example/de/58", 0),
-    ("https://roads-and-trams.example/en/5462", 0),
-    ("http://m.freeland-parish.example/en/31", 0),
-    ("https://m.rotation-theatre.example/en/40", 0),
-    ("http://www.thatmagazine.example/de/19.html", 0),
-    ("https://blog.petition-watch.example/fr/8/", 0),
-    ("https://www.northern-theatre.example/en/20", 0),
-    ("http://blog.the-reading-room.example/fr/311/", 0),
-    ("https://m.station-hotel.example/de/5", 0),
-    ("http://nation-archive.example/es/48.html", 0),
-    ("https://the-tide-tables.example/en/900", 0),
-    ("http://m.that-garden.example/en/61?page=2", 0),
-    ("https://blog.other-things.example/en/777/", 0),
-    ("http://www.weather-and-water.example/fr/13", 0),
-    ("https://in-the-north.example/en/202", 0),
-    ("http://thin-ice-report.example/de/9", 0),
-    ("https://www.rather-good-bread.example/es/310", 0),
-    ("http://bathhouse-museum.example/en/87.html", 0),
-    ("https://m.education-weekly.example/en/4", 0),
-    ("http://notation-for-choirs.example/fr/75", 0),
-    ("https://local-history.example/en/1837", 0),
-    ("http://www.village-school.example/es/16/", 0),
-    ("http://www.cheap-pills.example/en/450", 1),
-    ("https://m.pills-and-meds.example/en/62", 1),
-    ("http://discount-pills.example/es/9", 1),
-    ("https://www.cheap-meds-online.example/fr/40", 1),
-    ("http://spam-links-farm.example/en/17", 1),
-    ("https://m.spam-network.example/de/300", 1),
-    ("http://www.link-farm.example/en/28/", 1),
-    ("https://casino-bonus-win.example/es/71", 1),
-    ("http://www.big-win-casino.example/en/5", 1),
-    ("https://m.win-casino-slots.example/fr/606", 1),
-    ("http://bets-free-spins.example/en/44", 1),
-    ("https://www.sports-bets-win.example/de/3", 1),
-    ("http://free-bets-casino.example/en/90/", 1),
-    ("https://ads-click-track.example/en/8.html", 1),
-    ("http://m.track-ads.example/es/55", 1),
-    ("https://click-ads-server.example/fr/2", 1),
-    ("http://adult-xxx.example/en/19", 1),
-    ("https://m.adult-x-video.example/es/33", 1),
-    ("http://cash-loans-payday.example/en/7", 1),
-    ("https://www.replica-watches-cheap.example/en/11", 1),
-    ("http://free-crack-download.example/de/64", 1),
-    ("https://cheap-pills-online.example/buy/cheap", 1),
-    ("http://pills-cheap24.example/de/88", 1),
-    ("https://buy-cheap-meds.example/pills/blue", 1),
-    ("http://spam-farm.example/en/728", 1),
-    ("https://best-spam-farm.example/fr/12", 1),
-    ("http://linkfarm-spam.example/links/9", 1),
-    ("https://www.spam-links.example/out/771", 1),
-    ("http://free-casino-bonus.example/win/now", 1),
-    ("https://casino-jackpot.example/es/slots", 1),
-    ("http://online-casino.example/poker/free", 1),
-    ("https://win-big-prize.example/claim?id=3", 1),
-    ("http://adult-xxx-video.example/en/5", 1),
-    ("https://xxx-cams.example/live/7", 1),
-    ("http://www.adult-x-pics.example/fr/40/", 1),
-    ("https://adult-films-x.example/en/12", 1),
-    ("http://replica-watches-sale.example/shop", 1),
-    ("https://cheap-replica.example/buy/watches", 1),
-    ("http://payday-loans-fast.example/apply", 1),
-    ("https://quick-loan-cash.example/en/31", 1),
-    ("http://viagra-discount.example/order", 1),
-    ("https://discount-meds-pills.example/es/4", 1),
-    ("http://seo-backlinks-cheap.example/packages", 1),
-    ("https://clickbait-farm.example/de/201", 1),
-    ("http://crack-keygen-download.example/free", 1),
-    ("https://free-download-crack.example/setup.exe", 1),
-    ("http://miracle-diet-pills.example/fr/66", 1),
-    ("https://hot-singles-dating.example/en/9", 1),
-    ("http://m.casino-royal-win.example/en/4033.html", 1),
-    ("https://www.casino-win-now.example/en/12", 1),
-    ("https://free-bets-today.example/en/5462", 1),
-    ("http://m.sports-free-bets.example/fr/31", 1),
-    ("http://www.bets-and-odds.example/es/8", 1),
-    ("https://blog.best-bets.example/en/771/", 1),
-    ("https://ads-server.example/track/771", 1),
-    ("http://www.ads-track-click.example/en/3", 1),
-    ("http://m.tracking-ads.example/pixel/1570", 1),
-    ("https://blog.ad-track-pixel.example/de/7", 1),
-    ("http://m.cheap-pills-shop.example/fr/176/", 1),
-    ("https://www.spam-farm-net.example/es/62", 1),
+    ("https://www.evening-herald.example/politics/budget-vote", 0),
+    ("http://news.harbourtown.example/2019/04/ferry-timetable", 0),
+    ("https://archive.daily-record.example/obituaries/smith", 0),
+    ("https://www.countylibrary.example/catalogue/search?q=maps", 0),
+    ("http://library.stmarys-college.example/opening-hours", 0),
+    ("https://www.university-press.example/journals/linguistics", 0),
+    ("http://physics.lakeside-university.example/courses/optics.html", 0),
+    ("https://www.primary-school.example/parents/term-dates", 0),
+    ("http://www.botanic-garden.example/visit/glasshouses", 0),
+    ("https://museum-of-glass.example/collections/roman", 0),
+    ("http://www.cityorchestra.example/season/concerts.php?id=12", 0),
+    ("https://gallery.moderncraft.example/exhibitions/paper", 0),
+    ("https://www.national-park.example/walks/ridge-path", 0),
+    ("http://www.weatherservice.example/forecast/coast", 0),
+    ("https://geology-society.example/fieldnotes/granite", 0),
+    ("http://astronomy-club.example/observing/saturn", 0),
+    ("https://www.bird-survey.example/records/2016/heron", 0),
+    ("http://wiki.boatbuilders.example/index.php/Clinker", 0),
+    ("https://docs.imagetool.example/manual/layers.html", 0),
+    ("https://developer.mapserver.example/api/reference", 0),
+    ("http://forum.gardeners.example/viewtopic.php?t=4410", 0),
+    ("https://blog.slow-cooking.example/lentil-stew", 0),
+    ("http://www.family-recipes.example/bread/rye.htm", 0),
+    ("https://m.baking-diary.example/posts/scones", 0),
+    ("http://www.knitting-patterns.example/jumper", 0),
+    ("https://blog.quiet-reader.example/reviews/novel", 0),
+    ("http://www.book-trade.example/authors/interview", 0),
+    ("https://poetry-archive.example/poems/autumn", 0),
+    ("http://www.chess-federation.example/openings/french", 0),
+    ("https://www.rowing-club.example/regatta/results", 0),
+    ("http://m.football-league.example/fixtures/may", 0),
+    ("https://cycling-routes.example/north/valley.gpx", 0),
+    ("http://www.railway-museum.example/engines", 0),
+    ("https://timetable.buses.example/route/14", 0),
+    ("http://www.airport-information.example/arrivals", 0),
+    ("https://www.town-council.example/planning/minutes.pdf", 0),
+    ("http://tax-office.example/forms/income", 0),
+    ("https://www.ministry-of-health.example/advice/vaccines", 0),
+    ("http://hospital.eastside.example/departments/cardiology", 0),
+    ("https://www.dental-practice.example/contact", 0),
+    ("http://www.pharmacology-review.example/abstracts/insulin", 0),
+    ("https://www.consumer-advice.example/mortgages/guide", 0),
+    ("http://savingsbank.example/branches", 0),
+    ("https://www.charity-shop.example/donate", 0),
+    ("http://www.animal-shelter.example/adopt/cats", 0),
+    ("https://www.furniture-makers.example/chairs/oak", 0),
+    ("http://shop.pottery.example/bowls/blue", 0),
+    ("https://www.hardware-store.example/tools/saw", 0),
+    ("http://www.second-hand-books.example/basket", 0),
+    ("https://www.theatre-royal.example/tickets", 0),
+    ("http://film-institute.example/essays/silent-era", 0),
+    ("https://www.radio-drama.example/episodes/3", 0),
+    ("http://photo-journal.example/albums/harvest", 0),
+    ("https://www.language-school.example/courses/german", 0),
+    ("http://dictionary.oldwords.example/entry/thimble", 0),
+    ("https://m.genealogy.example/parish-registers", 0),
+    ("https://www.golden-roulette.example/play", 1),
+    ("http://poker-room-vip.example/signup/bonus", 1),
+    ("https://m.lucky-slots-777.example/free-spins", 1),
+    ("http://www.blackjack-live.example/deposit", 1),
+    ("https://jackpot-palace-casino.example/en/register", 1),
+    ("http://casino-online-bonus.example/promo.php?aff=9", 1),
+    ("https://sportsbook-odds.example/betting/tips", 1),
+    ("http://www.bet-and-win-big.example/live", 1),
+    ("https://betting-exchange-pro.example/freebet", 1),
+    ("http://buy-viagra-online.example/order", 1),
+    ("https://www.cheap-cialis-pharmacy.example/no-prescription", 1),
+    ("http://rx-meds-discount.example/buy/xanax", 1),
+    ("https://online-pills-store.example/checkout", 1),
+    ("http://m.weight-loss-pills.example/miracle", 1),
+    ("https://diet-pill-reviews.example/buy-now", 1),
+    ("http://steroids-shop.example/cart.php", 1),
+    ("https://www.hot-xxx-videos.example/watch", 1),
+    ("http://free-porn-tube.example/cat/teen", 1),
+    ("https://m.adult-webcams.example/live-girls", 1),
+    ("http://sexy-singles-tonight.example/join", 1),
+    ("https://escort-listings.example/city", 1),
+    ("http://nude-celebs-pics.example/gallery.php", 1),
+    ("https://xxx-dating-club.example/signup", 1),
+    ("http://www.replica-rolex.example/sale", 1),
+    ("https://fake-designer-bags.example/cheap", 1),
+    ("http://cheap-sneakers-outlet.example/buy", 1),
+    ("https://www.payday-cash-advance.example/apply", 1),
+    ("http://instant-loan-approval.example/bad-credit", 1),
+    ("https://m.quick-cash-loans.example/form", 1),
+    ("http://make-money-fast.example/secret", 1),
+    ("https://crypto-doubler.example/invest", 1),
+    ("http://forex-signals-profit.example/join-now", 1),
+    ("https://www.free-gift-card.example/claim.php", 1),
+    ("http://you-won-a-prize.example/claim", 1),
+    ("https://iphone-giveaway.example/winner?id=77", 1),
+    ("http://account-verify-login.example/secure/update.php", 1),
+    ("https://paypal-security-check.example/signin", 1),
+    ("http://bank-login-confirm.example/verify", 1),
+    ("https://www.password-reset-alert.example/login.php", 1),
+    ("http://free-keygen-crack.example/download.exe", 1),
+    ("https://warez-full-version.example/serial", 1),
+    ("http://torrent-movies-free.example/dl.php", 1),
+    ("https://m.download-cracked-games.example/setup.exe", 1),
+    ("http://driver-update-now.example/install.exe", 1),
+    ("https://www.pc-cleaner-alert.example/virus-warning", 1),
+    ("http://popunder-adserver.example/click.php?z=4", 1),
+    ("https://ads.banner-network.example/serve/imp", 1),
+    ("http://pixel-tracker.example/track.gif", 1),
+    ("https://clicks.affiliate-redirect.example/go.php?u=1", 1),
+    ("http://seo-backlinks-shop.example/buy-links", 1),
+    ("https://www.link-exchange-farm.example/links.html", 1),
+    ("http://spam-blog-network.example/autopost", 1),
+    ("https://bulk-email-lists.example/buy", 1),
+    ("http://article-spinner.example/spam", 1),
+    ("https://m.clickbait-viral.example/shocking", 1),
+    ("http://buy-followers-cheap.example/instagram", 1),
 )
 
 
@@ -214,7 +214,7 @@ def split(url: str) -> tuple[str, str]:
     cut = min((rest.find(c) for c in "?#" if c in rest), default=len(rest))
     rest = rest[:cut]
     host, slash, path = rest.partition("/")
-    return host.lower(), slash + path
+    return host.translate(TO_LOWER), slash + path
 
 
 def train(labelled: tuple[tuple[str, int], ...] = LABELLED) -> Model:
@@ -259,7 +259,7 @@ def url_filter(pages: DataFrame, rules: tuple[Rule, ...] = RULES, model: Model |
             "host",
             "path",
             F.col("found.text").alias("rule"),
-            F.coalesce("found.verdict", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"),
+            F.coalesce("found.verdict", F.when(F.col("score") >= BLOCK_AT, "block").otherwise("allow")).alias("verdict"),
             "score",
         )
     )
