@@ -30,8 +30,8 @@ DIGITS = re.compile("[0-9]+")
 STEPS = 400
 RATE = 0.5
 PENALTY = 1e-3
-#: Likelihood from which an address is blocked: a needless block counts more than a missed one.
-BLOCK_AT = 0.6
+#: How much more a wanted address counts in training than an unwanted one: a needless block is worse than a missed one.
+WANTED_WEIGHT = 1.5
 
 
 @dataclass(frozen=True)
@@ -229,7 +229,7 @@ def train(labelled: tuple[tuple[str, int], ...] = LABELLED) -> Model:
     x = x[:, used]
     w, bias = np.zeros(len(used)), 0.0
     for _ in range(STEPS):
-        error = 1 / (1 + np.exp(-(x @ w + bias))) - y
+        error = (1 / (1 + np.exp(-(x @ w + bias))) - y) * np.where(y > 0, 1, WANTED_WEIGHT)
         w -= RATE * (x.T @ error / len(y) * 4 + PENALTY * w)
         bias -= RATE * error.mean()
     weights = np.zeros(BUCKETS)
@@ -259,7 +259,7 @@ def url_filter(pages: DataFrame, rules: tuple[Rule, ...] = RULES, model: Model |
             "host",
             "path",
             F.col("found.text").alias("rule"),
-            F.coalesce("found.verdict", F.when(F.col("score") >= BLOCK_AT, "block").otherwise("allow")).alias("verdict"),
+            F.coalesce("found.verdict", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"),
             "score",
         )
     )
