@@ -132,17 +132,20 @@ def int_product_sales(items: DataFrame) -> DataFrame:
 
 
 def _lines(items: DataFrame) -> DataFrame:
-    """One row per order, seller and product."""
-    return items.groupBy("order_id", "seller_id", "product_id").agg(
-        F.count("*").alias("units"),
-        F.sum("price").alias("revenue"),
-        F.count("price").alias("priced"),
-        F.sum("freight_value").alias("freight"),
+    """What an item adds to its seller's sums."""
+    return items.select(
+        "order_id",
+        "seller_id",
+        "product_id",
+        F.lit(1).cast("long").alias("units"),
+        F.col("price").alias("revenue"),
+        F.col("price").isNotNull().cast("long").alias("priced"),
+        F.col("freight_value").alias("freight"),
     )
 
 
 def _first_of_basket() -> Column:
-    """True for one line of each order and seller: what is known per order counts there, once."""
+    """True for one item of each order and seller: what is known per order counts there, once."""
     return F.row_number().over(Window.partitionBy("order_id", "seller_id").orderBy("product_id")) == 1
 
 
@@ -233,8 +236,7 @@ def seller_review_metrics(items: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def seller_lines(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    """One row per order, seller and product with what is known of the order; inputs laid out by the order meet without
-    an exchange."""
+    """Items with what is known of their order; inputs laid out by the order meet without an exchange."""
     delivery = _first_order_rows(orders).select(
         "order_id", "delivery_days", "delivered_late", F.lit(True).alias("has_order")
     )
@@ -247,9 +249,9 @@ def seller_lines(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> Dat
 
 
 def int_seller_performance(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Sales, delivery and reviews per seller from one (order, seller, product) aggregate.
+    """Sales, delivery and reviews per seller from one scan of the items.
 
-    Items are scanned once and reduced before anything is joined. All measures but the distinct product count add up per
+    Items meet narrow rows of their order, one each. All measures but the distinct product count add up per
     seller; the count is the only distinct one, so no row is copied for it. A seller with a third of all items is spread
     over its orders until the last, already partially aggregated step.
     """
