@@ -257,11 +257,21 @@ def test_substring_dedup_equals_brute_force(spark, seed):
     assert sorted(deduplicated(frame(spark, texts, ids))) == sorted(brute_dedup(texts, ids))
 
 
-def test_substring_dedup_in_rounds(spark, monkeypatch):
-    """A sketch that is too small for the text: several rounds, same result."""
-    monkeypatch.setattr(substring_dedup, "plan", lambda docs, cells: (22, 3))
+@pytest.mark.parametrize("segment, chunk_bytes", [(1 << 10, 300), (1 << 6, 5000)])
+def test_substring_dedup_over_many_segments_and_chunks(spark, segment, chunk_bytes):
+    """Hundreds of pieces of the sketch, chunks of a text or two: same result, in as many passes."""
     texts = some_texts(9, n=60, vocabulary=40)
-    assert sorted(deduplicated(frame(spark, texts))) == sorted(brute_dedup(texts, range(len(texts))))
+    found = deduplicated(frame(spark, texts), segment=segment, chunk_bytes=chunk_bytes)
+    assert sorted(found) == sorted(brute_dedup(texts, range(len(texts))))
+
+
+def test_substring_dedup_reads_and_shuffles_the_text_once(spark, tmp_path):
+    """Three uses of the chunks, one exchange; nothing of the sketch is broadcast."""
+    frame(spark, some_texts(9, n=60, vocabulary=40)).write.parquet(str(tmp_path / "docs"))
+    found = substring_dedup.substring_dedup(spark.read.parquet(str(tmp_path / "docs")))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and plan.count("ReusedExchange") == 2 and "Broadcast" not in plan
 
 
 def test_substring_dedup_with_null_and_repeated_ids(spark):
