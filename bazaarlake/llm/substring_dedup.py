@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import bytewords
@@ -132,14 +132,15 @@ def repeated_cells(rows: DataFrame, k: int, bits: int, segment: int) -> DataFram
 
 
 def candidates(rows: DataFrame, answers: DataFrame, k: int, bits: int, segment: int) -> DataFrame:
-    """(high, low, chunk, doc_id, tag, pos, run, sure) of the windows that the sketch calls perhaps repeated.
+    """(high, doc_id, marks, at) of the windows that the sketch calls perhaps repeated: ``marks`` holds 16 bits of hash, then the tag,
+    ``at`` the place, then 0, or a number of windows.
 
-    Sure: the chunk has the window in a document with a smaller id too; run neighbouring ones are one row, dealt out by chance.
+    With a number, the chunk has this window and its neighbours in documents with smaller ids too; such rows are dealt out by chance.
     """
     per_row = (1 << bits) // segment
     kind = dict(rows.dtypes)["doc_id"]
 
-    def probed(key: tuple, chunk: pa.Table, answers: pa.Table) -> pa.Table:
+    def probed(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         parts = list(pieces(chunk, k))
         windows = joined_up([key for *_, key in parts], np.uint64)
         said = dict(zip(answers.column("piece").to_pylist(), answers.column("bits"), strict=True))
@@ -182,58 +183,60 @@ def candidates(rows: DataFrame, answers: DataFrame, k: int, bits: int, segment:
         sure, doc, pos, high, second = sure[heads], doc[heads], pos[heads], high[heads], second[heads]
         spread = bytewords.mixed(high + pos.astype(np.uint64) + (doc.astype(np.uint64) << np.uint64(32)))
         taken = docs.select(["doc_id", "tag"]).take(pa.array(doc))
+        tag = taken["tag"].to_numpy().view(np.uint16).astype(np.uint32)
         return pa.table(
             {
                 "high": pa.array(np.where(sure, spread, high).view(np.int64)),
-                "low": pa.array(second.view(np.int16)),
-                "chunk": pa.array(np.full(len(doc), key[0].as_py(), np.int64)),
                 "doc_id": taken["doc_id"],
-                "tag": taken["tag"],
-                "pos": pa.array(pos.astype(np.int32)),
-                "run": pa.array(run.astype(np.int32)),
-                "sure": pa.array(sure),
+                "marks": pa.array((second.astype(np.uint32) << np.uint32(16) | tag).view(np.int32)),
+                "at": pa.array(pos << 32 | np.where(sure, run, 0)),
             }
         )
 
     return (
         rows.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(probed, f"high long, low short, chunk long, doc_id {kind}, tag short, pos int, run int, sure boolean")
+        .applyInArrow(probed, f"high long, doc_id {kind}, marks int, at long")
     )
 
 
+def chunk_of(chunks: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id", "tag"), F.lit(chunks)).alias("chunk")
+
+
 def chunked(docs: DataFrame, chunks: int) -> DataFrame:
     """doc_id, text, a short tag of the text, which tells texts apart that share an id, and the chunk."""
-    return docs.select(
-        "doc_id",
-        "text",
-        F.shiftright(F.xxhash64("text"), 48).cast("short").alias("tag"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"),
-    )
+    tagged = docs.select("doc_id", "text", F.shiftright(F.xxhash64("text"), 48).cast("short").alias("tag"))
+    return tagged.select("*", chunk_of(chunks))
 
 
-def later_windows(rows: DataFrame, k: int, bits: int, segment: int) -> DataFrame:
-    """(chunk, doc_id, tag, pos, run): run windows from pos on whose words also start in documents with smaller ids."""
+def later_windows(rows: DataFrame, k: int, bits: int, segment: int, chunks: int) -> DataFrame:
+    """(doc_id, tag, at, chunk): the windows from place ``at >> 32`` on, one or as many as its low half says, whose words also
+    start in documents with smaller ids."""
     found = candidates(rows, repeated_cells(rows, k, bits, segment), k, bits, segment)
+    # few wide columns cross the exchange; they are taken apart behind it
+    apart = found.repartition("high").withColumns(
+        {"low": F.shiftright("marks", 16), "sure": F.col("at").bitwiseAND(0xFFFFFFFF) > 0}
+    )
     # sorted and streamed: no group is held in memory
     first = F.first("doc_id").over(
         Window.partitionBy("high", "low", "sure").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
     )
-    return found.withColumn("first_id", first).where("sure or doc_id > first_id").select(
-        "chunk", "doc_id", "tag", "pos", "run"
-    )
+    later = apart.withColumn("first_id", first).where("sure or doc_id > first_id")
+    tag = F.shiftright(F.shiftleft("marks", 16), 16).cast("short").alias("tag")
+    return later.select("doc_id", tag, "at").select("*", chunk_of(chunks))
 
 
 def substring_dedup(docs: DataFrame, k: int = K, segment: int = SEGMENT, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text, the words left joined by one space, for each row."""
     bits, chunks = plan(docs, segment, chunk_bytes)
     rows = chunked(docs, chunks)
-    places = later_windows(rows, k, bits, segment)
+    places = later_windows(rows, k, bits, segment, chunks)
     kind = dict(docs.dtypes)["doc_id"]
 
     def left_over(chunk: pa.Table, places: pa.Table) -> pa.Table:
-        cut = places.group_by(["doc_id", "tag"]).aggregate([("pos", "list"), ("run", "list")])
-        cuts = dict(zip(zip(cut["doc_id"].to_pylist(), cut["tag"].to_pylist()), zip(cut["pos_list"], cut["run_list"]), strict=True))
+        cut = places.group_by(["doc_id", "tag"]).aggregate([("at", "list")])
+        cuts = dict(zip(zip(cut["doc_id"].to_pylist(), cut["tag"].to_pylist()), cut["at_list"], strict=True))
         n_words, n_removed, kept = [], [], []
         for batch in chunk.to_batches():
             ids, tags = batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist()
@@ -241,7 +244,8 @@ def substring_dedup(docs: DataFrame, k: int = K, segment: int = SEGMENT, chunk_b
                 words = (text.as_py() or b"").split()  # bytes split at the six ASCII white characters
                 n_words.append(len(words))
                 if (doc_id, tag) in cuts:
-                    begin, run = (np.asarray(x.values) for x in cuts[doc_id, tag])
+                    begin, run = np.divmod(np.asarray(cuts[doc_id, tag].values), 1 << 32)
+                    run = np.maximum(run, 1)
                     change = np.bincount(begin, minlength=len(words) + 1)
                     change -= np.bincount(begin + run + k - 1, minlength=len(words) + 1)
                     words = [words[i] for i in np.flatnonzero(np.cumsum(change)[:-1] == 0)]
