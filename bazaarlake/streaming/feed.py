@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,8 @@ from bazaarlake.sources.ingest_log import (
 from bazaarlake.sources.tables import AUDIT_TABLE, table_exists
 
 EPOCH_COLUMN = "_epoch"
+#: Generations of a running state take turns in so many folders: the current one, the one before, the next.
+SLOTS = 3
 
 # Keyed state may outgrow the heap; keep it in the embedded on-disk store.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -156,6 +161,94 @@ def read_updates(spark: SparkSession, target: str, keys: Sequence[str], schema:
     return newest.select(*keys, *[F.col(f"row.{c}").alias(c) for c in rest])
 
 
+@dataclass(frozen=True)
+class Generation:
+    """A log of epochs that begins with the whole state after epoch ``through``; the first one begins with nothing."""
+
+    number: int
+    through: int
+
+    def place(self, target: str) -> str:
+        return f"{target}/slot{self.number % SLOTS}"
+
+
+def current_generation(spark: SparkSession, target: str) -> Generation | None:
+    """The generation with the highest number that was written whole."""
+    try:
+        known = spark.read.schema("number long, through long").json(f"{target}/generations")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    newest = known.agg(F.max(F.struct("number", "through"))).first()[0]
+    return Generation(*newest) if newest else None
+
+
+def _point_at(spark: SparkSession, target: str, generation: Generation) -> None:
+    row = spark.createDataFrame([(generation.number, generation.through)], "number long, through long")
+    row.coalesce(1).write.mode("append").json(f"{target}/generations")
+
+
+def write_generations(
+    updates: DataFrame, target: str, keys: Sequence[str], checkpoint: str, every: int = 64
+) -> StreamingQuery:
+    """Store what each epoch changed, and fold the log into a new generation after ``every`` epochs, while the stream runs.
+
+    A generation is written beside the current one and then named in the list of generations; until that a reader and a
+    replay see the old one. An epoch that comes again overwrites its rows, or is left out where a generation holds it
+    already. A reader may go on with the generation before the current one; what is older is overwritten. Folding writes the state once per
+    ``every`` epochs: choose it by what an epoch changes against the size of the state.
+    """
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        now = current_generation(spark, target)
+        if now is None:
+            now = Generation(0, -1)
+            _point_at(spark, target, now)
+        if epoch <= now.through:
+            batch.write.format("noop").mode("overwrite").save()  # the epoch's keyed state is still to be stored
+            return
+        batch.write.mode("overwrite").parquet(f"{now.place(target)}/{EPOCH_COLUMN}={epoch}")
+        if epoch - now.through >= every:
+            after = Generation(now.number + 1, epoch)
+            state = _read_generation(spark, target, now, keys, updates.schema).withColumn(EPOCH_COLUMN, F.lit(epoch))
+            whole = state.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(EPOCH_COLUMN)
+            whole.parquet(after.place(target))
+            _point_at(spark, target, after)
+
+    return (
+        updates.writeStream.outputMode("update")
+        .foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _read_generation(
+    spark: SparkSession, target: str, generation: Generation, keys: Sequence[str], schema: T.StructType
+) -> DataFrame:
+    full = T.StructType([*schema.fields, T.StructField(EPOCH_COLUMN, T.LongType())])
+    log = spark.read.schema(full).parquet(generation.place(target))
+    base = log.where(F.col(EPOCH_COLUMN) == generation.through).select(*schema.names)
+    rest = [name for name in schema.names if name not in keys]
+    changes = log.where(F.col(EPOCH_COLUMN) > generation.through)
+    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), EPOCH_COLUMN).alias("row"))
+    newest = newest.select(*keys, *[F.col(f"row.{c}").alias(c) for c in rest]).select(*schema.names)
+    same = reduce(lambda a, b: a & b, [base[k].eqNullSafe(newest[k]) for k in keys])
+    return base.join(newest, same, "left_anti").unionByName(newest)
+
+
+def read_generations(spark: SparkSession, target: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
+    """The state after the last epoch: the current generation's first epoch without the keys that changed since, and their newest
+    rows. Only the changes are grouped, and a read costs the same however many epochs went before."""
+    now = current_generation(spark, target)
+    if now is None:
+        return spark.createDataFrame([], schema)
+    return _read_generation(spark, target, now, keys, schema)
+
+
 def stream_retry_dedup(rows: DataFrame, version: str) -> DataFrame:
     """Drop retried appends of the same record version, however late they come.
 

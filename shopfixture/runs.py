@@ -962,10 +962,9 @@ def _(m):
     return audit.select("batch_id", "entity", "records_fetched", "records_loaded", "watermark_after", "status")
 
 
-@query("x02_stream_latest_per_key", "SELECT * FROM latest_orders")
-def _(m):
-    """History and feed land as files and arrive in several micro-batches."""
-    place, target = scratch_path(m.spark, "landing"), scratch_path(m.spark, "stream")
+def landed_versions(m):
+    """History and feed land as files and arrive in several micro-batches: the running latest row of each order."""
+    place = scratch_path(m.spark, "landing")
     history = m.raw("orders").withColumns({"_priority": F.lit(0), "_version_at": F.lit(EPOCH).cast("timestamp")})
     newer = m.ingest("orders").withColumns({"_priority": F.lit(1), "_version_at": F.col("_ingested_at")})
     schema = S.plus(S.ORDERS, T.StructType().add("_priority", T.IntegerType()).add("_version_at", T.TimestampType()))
@@ -974,10 +973,24 @@ def _(m):
     feed.use_disk_state(m.spark)
     rows = feed.read_landing(m.spark, place, schema, files_per_batch=4)
     latest = feed.stream_latest_per_key(rows, ["order_id"], [F.col("_priority"), F.col("_version_at")])
-    feed.write_updates(latest.select(*S.ORDERS.names), target, f"{target}-checkpoint").awaitTermination()
+    return latest.select(*S.ORDERS.names)
+
+
+@query("x02_stream_latest_per_key", "SELECT * FROM latest_orders")
+def _(m):
+    target = scratch_path(m.spark, "stream")
+    feed.write_updates(landed_versions(m), target, f"{target}-checkpoint").awaitTermination()
     return feed.read_updates(m.spark, target, ["order_id"], S.ORDERS)
 
 
+@query("x02_stream_generations", "SELECT * FROM latest_orders")
+def _(m):
+    """The log is folded after every second epoch while the stream runs."""
+    target = scratch_path(m.spark, "stream")
+    feed.write_generations(landed_versions(m), target, ["order_id"], f"{target}-checkpoint", every=2).awaitTermination()
+    return feed.read_generations(m.spark, target, ["order_id"], S.ORDERS)
+
+
 @query(
     "x03_stream_retry_dedup",
     f"""SELECT customer_id, customer_city, updated_at, {hash_sql('customer_id')} AS _record_hash FROM feed_customers""",

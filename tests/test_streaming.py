@@ -113,6 +113,72 @@ def test_latest_per_key_across_micro_batches(spark, tmp_path):
     assert rows(short) == rows(got) and spark.read.parquet(str(tmp_path / "short")).count() == 2
 
 
+VERSIONED = T.StructType([*ORDERS.fields, T.StructField("v", T.IntegerType())])
+
+
+def land_version(spark, place, n, keys=3):
+    """Key n % keys in its version n; every third epoch brings an old version that loses."""
+    v = n if n % 3 else -n
+    df = spark.createDataFrame([(str(n % keys), "c", f"s{n}", T1, None, None, None, None, v)], VERSIONED)
+    df.coalesce(1).write.mode("append").json(place)
+
+
+def run_generations(spark, place, target, mark, every=3):
+    stream = feed.read_landing(spark, place, VERSIONED, files_per_batch=1)
+    latest = feed.stream_latest_per_key(stream, ["order_id"], [F.col("v")])
+    feed.write_generations(latest, target, ["order_id"], mark, every).awaitTermination()
+    return rows(feed.read_generations(spark, target, ["order_id"], latest.schema), "order_id", "order_status", "v")
+
+
+def expected_versions(n, keys=3):
+    best = {}
+    for i in range(n):
+        v = i if i % 3 else -i
+        best[str(i % keys)] = max(best.get(str(i % keys), (-1000, "")), (v, f"s{i}"))
+    return sorted((k, s, v) for k, (v, s) in best.items())
+
+
+def test_generations_fold_the_log_while_the_stream_runs(spark, tmp_path):
+    place, target, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    assert feed.read_generations(spark, target, ["order_id"], VERSIONED).count() == 0
+    for n in range(11):
+        land_version(spark, place, n, keys=4)
+    assert run_generations(spark, place, target, mark) == expected_versions(11, keys=4)
+    now = feed.current_generation(spark, target)
+    assert now.number == 3 and now.through == 8
+    epochs = [p.name for p in (tmp_path / "out" / "slot0").iterdir() if p.name.startswith("_epoch")]
+    assert sorted(epochs) == ["_epoch=10", "_epoch=8", "_epoch=9"]  # the slot's first use is gone
+    read = feed.read_generations(spark, target, ["order_id"], VERSIONED)
+    assert all(f"slot{i}" not in name for name in read.inputFiles() for i in (1, 2))
+
+
+@pytest.mark.parametrize("broken", ["_point_at", "_read_generation"])
+def test_an_epoch_whose_folding_failed_comes_again(spark, tmp_path, monkeypatch, broken):
+    """Failing before the new generation is written, before and behind the step that names it."""
+    place, target, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for n in range(2):
+        land_version(spark, place, n)
+    run_generations(spark, place, target, mark)
+    land_version(spark, place, 2)
+    whole = getattr(feed, broken)
+    for first in (False, True):  # the step fails, then it is done and the epoch fails behind it
+
+        def fail(*given, first=first):
+            if first:
+                whole(*given)
+            raise OSError("disk is gone")
+
+        with monkeypatch.context() as patched:
+            patched.setattr(feed, broken, fail)
+            with pytest.raises(Exception, match="disk is gone"):
+                run_generations(spark, place, target, mark)
+        latest = feed.read_generations(spark, target, ["order_id"], VERSIONED)
+        assert rows(latest, "order_id", "order_status", "v") == expected_versions(3)
+    land_version(spark, place, 3)
+    assert run_generations(spark, place, target, mark) == expected_versions(4)
+    assert feed.current_generation(spark, target) == feed.Generation(1, 2)
+
+
 def test_retries_drop_and_late_records_stay(spark, tmp_path):
     place, target = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "customer_id string, updated_at string, _record_hash string, _ingested_at timestamp"
