@@ -1,11 +1,11 @@
 """Quality rules: counting rules, then a hashed n-gram log-likelihood ratio of trusted text against all text.
 
-Byte 3-grams and words are hashed into a fixed number of buckets each. For both, two multinomials are counted: one over a bounded sample
-of labelled good documents (the trusted target), one over every document. A bucket's weight is the logarithm of how often the target has it
+Byte 3-grams and words are hashed into a fixed number of buckets each. For both, two multinomials are counted: one over the labelled good
+documents whose id has an even hash (the trusted target), one over every document. A bucket's weight is the logarithm of how often the target has it
 against how often it would by the raw multinomial, ``SMOOTH`` added to both: what is rare in all text says little, what is common and missing in the
 target says much. A document's score is the mean weight of its byte n-grams plus the mean weight of its words, so it does not grow with the
-length; weights are rounded to 2**-16, so that sums are exact and the same in any order. The threshold is the one that errs least on other
-labelled documents, an unjust rejection counting ``REJECT_COST`` times.
+length; weights are rounded to 2**-16, so that sums are exact and the same in any order. The threshold is the one that errs least on all other
+labelled documents, those with an odd hash, an unjust rejection counting ``REJECT_COST`` times. Every label is used for one of the two.
 
 Defined results: null or empty text has no words, all counts 0, score 0 and fails the base rules; repeated rows are
 judged alike, one result per input row; a null id is carried along; without labels every score is 0 and the base rules
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import bytewords
@@ -31,8 +31,6 @@ BUCKETS = BYTE_BUCKETS + WORD_BUCKETS
 #: Added to the counts of the target and to those that the raw multinomial makes expect.
 SMOOTH = 4.0
 SCALE = 1 << 16
-#: Most labelled documents that are used; an even hash goes to the target, an odd one to the threshold.
-SAMPLE_ROWS = 20_000
 REJECT_COST = 5
 #: Width of the score bins in which the threshold is sought.
 BIN = 0.005
@@ -92,27 +90,44 @@ def weights_of(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return out
 
 
-def labelled_sample(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, good, fit) of at most sample_rows labelled documents, the first by a hash of the id.
+def even(doc_id: Column) -> Column:
+    """Whether a document belongs to the target's half; the other half is for the threshold."""
+    return F.xxhash64(doc_id) % 2 == 0
+
+
+def labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, good, fit) of every labelled document.
 
     Good: quality 1 and not toxic. Of contradicting labels the bad one counts.
     """
-    by_id = (
+    return (
         labels.where("doc_id is not null and quality is not null")
         .groupBy("doc_id")
         .agg(F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"))
+        .select("doc_id", "good", even(F.col("doc_id")).alias("fit"))
     )
-    order = F.xxhash64("doc_id")
-    return by_id.orderBy(order, "doc_id").limit(sample_rows).select("doc_id", "good", (order % 2 == 0).alias("fit"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Counts over all documents and over the trusted sample, then the threshold on the rest of the sample."""
-    # at most sample_rows small rows, so that the broadcast is bounded
-    sample = F.broadcast(labelled_sample(labels, sample_rows).withColumnRenamed("doc_id", "labelled_id"))
-    trusted = docs.join(sample, F.col("doc_id") == F.col("labelled_id"), "left").select(
-        "text", (F.coalesce("good", F.lit(False)) & F.coalesce("fit", F.lit(False))).alias("trusted")
+#: The name it had when it took a part of the labels.
+labelled_sample = labelled
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Counts over all documents and over the trusted ones, then the threshold on the other labelled ones.
+
+    The labels may be as many as the documents, so they are not broadcast: the texts of the target's half are shuffled
+    to them, by the same plan at any size. Of the other half only ids and scores are.
+    """
+    known = labelled(labels).withColumnRenamed("doc_id", "labelled_id")
+    # the hash depends on the type, so the documents' ids take that of the labels
+    half = F.coalesce(even(F.col("doc_id").try_cast(known.schema["labelled_id"].dataType)), F.lit(False))
+    half = half & F.col("doc_id").isNotNull()
+    same = F.col("doc_id") == F.col("labelled_id")
+    targets = docs.where(half).join(known.where("fit").hint("merge"), same, "left").select(
+        "text", F.coalesce("good", F.lit(False)).alias("trusted")
     )
+    others = docs.where(~half).select("text", F.lit(False).alias("trusted"))
+    trusted = targets.union(others)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw_count, target_count = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
@@ -142,19 +157,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         return Model(np.zeros(BUCKETS, np.int64), -np.inf)
     weights = weights_of(raw, target)
 
-    held = docs.join(sample, F.col("doc_id") == F.col("labelled_id")).where(~F.col("fit")).select("text", "good")
-
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in bytewords.slices(batch):
                 w = bytewords.words(part.column("text"))
                 judged = w.count >= MIN_WORDS  # shorter ones fail anyway
                 bins = np.floor(scores(w, w.hashes(), weights) / BIN).astype(np.int64)[judged]
-                good = part.column("good").filter(pa.array(judged))
-                yield pa.record_batch([pa.array(bins), good], ["bin", "good"])
+                yield pa.record_batch([part.column("doc_id").filter(pa.array(judged)), pa.array(bins)], ["doc_id", "bin"])
 
+    held = docs.where(~half).select("doc_id", "text")
+    scored = held.mapInArrow(binned, f"doc_id {dict(docs.dtypes)['doc_id']}, bin long")
     found = (
-        held.mapInArrow(binned, "bin long, good boolean").groupBy("bin").agg(
+        scored.join(known.where("not fit"), same).groupBy("bin").agg(
             F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
         ).orderBy("bin").toPandas()  # scores lie within +-20, so at most 8000 bins
     )

@@ -357,3 +357,17 @@ def test_quality_on_held_out_labels(spark):
 def test_contradicting_labels_count_as_bad(spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 1, None), (3, None, 0), (None, 1, 0), (4, 1, 1)], "doc_id long, quality int, toxic int")
     assert {(r.doc_id, r.good) for r in quality_rules.labelled_sample(labels).collect()} == {(1, False), (2, True), (4, False)}
+
+
+def test_all_labels_reach_target_and_threshold(spark):
+    """More labels than any bound of the past (20,000): all are there, and one beyond it changes the model."""
+    labels = spark.range(30_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality", "0 AS toxic")
+    halves = {r.fit: r["count"] for r in quality_rules.labelled(labels).groupBy("fit").count().collect()}
+    assert sum(halves.values()) == 30_000 and min(halves.values()) > 14_000
+    fit_ids = [r.doc_id for r in quality_rules.labelled(labels).where("fit").collect()]
+    hash_of = F.xxhash64(F.col("doc_id").cast("long"))
+    last = labels.where(hash_of % 2 == 0).orderBy(hash_of.desc()).first().doc_id
+    docs = spark.createDataFrame([(last, "far away lies the light harbour " * 9)] + [(i, f"w{i} " * 3) for i in fit_ids[:9]], "doc_id int, text string")
+    good = labels.withColumn("quality", F.lit(1))
+    weights = lambda some: quality_rules.fit(docs, some).weights
+    assert (weights(good) != weights(good.where(F.col("doc_id") != last))).any()
