@@ -136,3 +136,22 @@ def test_order_joins_of_the_first_build_have_no_exchange(spark, shop):
         assert plan.count("Exchange hashpartitioning(order_id") == 1  # the customers' columns on their way back
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tables_of_a_build_are_not_shuffled_again(spark, shop, monkeypatch):
+    """States and facts lie in their buckets before they are written; the facts of the second day need no exchange at all."""
+    m, layers, models = shop
+    written = []
+
+    def record(df, namespace, name, *args, placed=False, **more):
+        written.append((name, placed, df._jdf.queryExecution().executedPlan().toString()))
+        return versions.publish_buckets(df, namespace, name, *args, placed=placed, **more)
+
+    monkeypatch.setattr(touched, "publish_buckets", record)
+    models.build()
+    assert all(placed for name, placed, _ in written if name in FACTS or name.startswith("latest_"))
+    written.clear()
+    tables.append_table(feed(m, "orders", "day2"), layers.raw, "_ingest_orders")
+    models.build()
+    plans = {name: plan for name, _, plan in written}
+    assert all("Exchange hashpartitioning" not in plans[name] for name in ("fct_orders", "fct_order_items"))
