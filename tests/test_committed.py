@@ -133,3 +133,20 @@ def test_bitmaps_of_later_days_add_up(spark):
     whole = rows(bitmaps.distinct_counts(days))
     assert whole == rows(marts.overall_metrics(orders).select("total_orders", "total_customers_with_orders"))
     assert rows(bitmaps.distinct_counts(days.limit(0))) == [(0, 0)]
+
+
+def test_a_batch_extracts_and_shuffles_its_rows_once(spark, layers, shop):
+    """Before, the rows were extracted and joined for themselves after the mark, behind it, and with the history."""
+    m, source = shop
+    entity, mark = ENTITY["order_items"], datetime(1995, 6, 1)
+    history = source["order_items"].where("order_item_id = 1")
+    stored = m.ingest("order_items").where("order_item_id = 2").limit(50).select(*entity.schema.names)
+    found = committed.extract_with_gap(entity, source, history, stored, mark, timedelta(days=4000))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftAnti") == 1 and plan.count("Join Inner") == 1
+    time = F.col("order_purchase_timestamp")
+    every = source["order_items"].join(source["orders"].select("order_id", "order_purchase_timestamp"), "order_id")
+    keys = ["order_id", "order_item_id"]
+    # no stored version has the price of the source; of the history's records those after the mark come in
+    expected = every.where((F.col("order_item_id") != 1) | (time > F.lit(mark).cast("timestamp")))
+    assert rows(found, *keys) == rows(expected, *keys)
