@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,10 +101,14 @@ def hash_sql(*keys: str) -> str:
     return "sha256(" + " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'None')" for k in keys) + ")"
 
 
+#: A quoted export cannot be split: one task reads a file, so files stay small.
+EXPORT_ROWS = 500_000
+
+
 def export_csv(m: Models, names, folder: str) -> None:
     stems = {table: stem for stem, table in csv_files.EXPORTS.items()}
     for name in names:
-        writer = m.raw(name).write.option("header", True).option("escape", '"')
+        writer = m.raw(name).write.option("header", True).option("escape", '"').option("maxRecordsPerFile", EXPORT_ROWS)
         writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(f"{folder}/{stems[name]}.csv")
 
@@ -149,6 +154,22 @@ def typed(column: str, field: T.StructField) -> str:
     return f"TRY_CAST(CAST({column} AS VARCHAR) AS {kind})" if kind else column
 
 
+def profile(table: DataFrame, name: str) -> DataFrame:
+    """Known and different values of every column, and the length of text, each column grouped by itself.
+
+    Distinct counts of many columns at once copy the wide row for each of them; here only a column's own values are read and shuffled.
+    """
+
+    def of(f: T.StructField) -> DataFrame:
+        values = table.select(F.col(f.name).alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count("*").alias("n"))
+        characters = F.sum(F.length("value") * F.col("n")) if isinstance(f.dataType, T.StringType) else F.lit(0)
+        totals = {"known": F.sum("n"), "different": F.count("*"), "characters": characters}
+        found = values.agg(*[F.coalesce(total, F.lit(0)).cast("long").alias(c) for c, total in totals.items()])
+        return found.select(F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"), *totals)
+
+    return reduce(DataFrame.unionByName, map(of, table.schema.fields))
+
+
 @query(
     "s02_csv_load_catalogue",
     " UNION ALL ".join(
@@ -166,22 +187,7 @@ def _(m):
     export_csv(m, S.RAW_SCHEMAS, folder)
     items = csv_files.csv_catalogue(folder)
     csv_files.load_catalogue(m.spark, items, raw)
-    loaded = None
-    for item in items:
-        table = m.spark.table(f"{raw}.{item.table}")
-        text = {f.name for f in S.RAW_SCHEMAS[item.table].fields if f.dataType.simpleString() == "string"}
-        columns = [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(c).alias("known"),
-                F.count_distinct(c).alias("different"),
-                F.coalesce(F.sum(F.length(c)) if c in text else F.lit(0), F.lit(0)).cast("long").alias("characters"),
-            )
-            for c in table.columns
-        ]
-        part = table.agg(F.array(*columns).alias("columns")).select(F.lit(item.table).alias("table_name"), F.inline("columns"))
-        loaded = part if loaded is None else loaded.unionByName(part)
-    return loaded
+    return reduce(DataFrame.unionByName, [profile(m.spark.table(f"{raw}.{i.table}"), i.table) for i in items])
 
 
 @query("s03_loaded_row_count", counts_sql("raw", S.RAW_SCHEMAS))
@@ -403,7 +409,7 @@ def _(m):
     """The page behind a key: the last one of the page before is the token."""
     orders = pages.paged(m.operational("orders"), ORDER_PLACE, scratch_path(m.spark, "pages"), range_rows=2000)
     last = orders.page(1, 4999).select(*ORDER_PLACE).first()
-    return orders.after(tuple(last), 1000)
+    return orders.after(tuple(last), 1000) if last else orders.page(1000, 5000)  # no such row: nothing follows it
 
 
 @query(

@@ -11,6 +11,7 @@ from bazaarlake.operators import incremental
 from bazaarlake.plans import ingest, staging
 from bazaarlake.schemas import ENTITIES, ENTITY
 from bazaarlake.sources import csv_files, ingest_log, landing, tables
+from shopfixture import runs
 from shopfixture.models import Models
 
 T1, T2, T3 = datetime(2020, 1, 1), datetime(2020, 1, 2), datetime(2020, 1, 3)
@@ -292,3 +293,24 @@ def test_a_failing_write_leaves_the_table(spark, layers):
     assert spark.table(f"{layers.raw}.t").count() == 3
     tables.overwrite_table(spark.table(f"{layers.raw}.t").where("id > 0"), layers.raw, "t")
     assert rows(spark.table(f"{layers.raw}.t")) == [(1,), (2,)]
+
+
+def test_a_profile_groups_each_column_by_itself(spark):
+    """Zero and its negative are one value; wide rows are not copied for each distinct count."""
+    made = [("a", 0.0, 1), ("a", -0.0, None), (" bc", float("nan"), 1), (None, float("nan"), 2)]
+    table = spark.createDataFrame(made, "text string, number double, whole long")
+    found = runs.profile(table, "made")
+    assert rows(found) == [("made", "number", 4, 2, 0), ("made", "text", 3, 2, 5), ("made", "whole", 3, 2, 0)]
+    assert rows(runs.profile(table.limit(0), "made"), "known", "different", "characters") == [(0, 0, 0)] * 3
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_an_export_is_cut_into_files_of_some_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs, "EXPORT_ROWS", 20)
+    m = Models(spark, SMALL)
+    runs.export_csv(m, ["products"], str(tmp_path))
+    n = m.raw("products").count()
+    assert len(list(tmp_path.glob("products.csv/part-*.csv"))) >= n // 20 > 1
+    item = next(i for i in csv_files.csv_catalogue(str(tmp_path)) if i.table == "products")
+    read = csv_files.read_csv(spark, item.path, item.schema)
+    assert rows(read, "product_id") == rows(m.raw("products"), "product_id")
