@@ -991,7 +991,7 @@ def _(m):
 
 @query("x02_stream_generations", "SELECT * FROM latest_orders")
 def _(m):
-    """The log is folded after every second epoch while the stream runs."""
+    """The log is folded while the stream runs, after two epochs at the earliest."""
     target = scratch_path(m.spark, "stream")
     feed.write_generations(landed_versions(m), target, ["order_id"], f"{target}-checkpoint", every=2).awaitTermination()
     return feed.read_generations(m.spark, target, ["order_id"], S.ORDERS)

@@ -152,6 +152,19 @@ def test_generations_fold_the_log_while_the_stream_runs(spark, tmp_path):
     assert all(f"slot{i}" not in name for name in read.inputFiles() for i in (1, 2))
 
 
+def test_few_changes_do_not_write_the_whole_state_anew(spark, tmp_path):
+    place, target, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    whole = spark.createDataFrame([(f"k{i}", "c", "s", T1, None, None, None, None, 1) for i in range(8)], VERSIONED)
+    whole.coalesce(1).write.mode("append").json(place)
+    for n in range(6):
+        land_version(spark, place, n)
+    run_generations(spark, place, target, mark, every=1)
+    # the first epoch begins a generation of 8 rows; the 6th row after it is three quarters of them
+    assert feed.current_generation(spark, target) == feed.Generation(2, 6)
+    got = rows(feed.read_generations(spark, target, ["order_id"], VERSIONED), "order_id", "order_status", "v")
+    assert got == sorted([*expected_versions(6), *[(f"k{i}", "s", 1) for i in range(8)]])
+
+
 @pytest.mark.parametrize("broken", ["_point_at", "_read_generation"])
 def test_an_epoch_whose_folding_failed_comes_again(spark, tmp_path, monkeypatch, broken):
     """Failing before the new generation is written, before and behind the step that names it."""
