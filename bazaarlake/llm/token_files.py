@@ -34,7 +34,7 @@ SHARD_IDS = 2_000_000
 RULES_A_ROUND = 2048
 LEAST_COUNT = 16
 #: Pairs are counted in so many buckets at first, and exactly in the fullest ones.
-BUCKET_BITS = 20
+BUCKET_BITS = 18
 CANDIDATES = 3 * RULES_A_ROUND
 #: New symbols start here, above all ids of a vocabulary.
 FIRST_SYMBOL = 1 << 18
@@ -54,8 +54,29 @@ class Grammar:
         return all_sizes
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        while len(symbols) and symbols.max() >= self.base:
-            new = symbols >= self.base
+        """Short rules are expanded once, into a table from which all their places are filled. It has no more ids than there are symbols."""
+        if not len(self.lengths):
+            return symbols
+        ordered = np.sort(self.lengths)
+        fit = int(np.searchsorted(np.cumsum(ordered), len(symbols), "right"))
+        longest = int(ordered[fit] - 1 if fit < len(ordered) else ordered[-1])
+        symbols = self._by_steps(symbols, longest)
+        short = np.flatnonzero(self.lengths <= longest)
+        table = self._by_steps((self.base + short).astype(np.uint32), 1)
+        first = np.zeros(len(self.lengths), np.int64)
+        first[short] = np.cumsum(self.lengths[short]) - self.lengths[short]
+        size, new = self.size_of(symbols), symbols >= self.base
+        begin = len(table) + np.arange(len(symbols))
+        begin[new] = first[symbols[new] - self.base]
+        at = np.cumsum(size) - size
+        return np.concatenate([table, symbols])[np.repeat(begin - at, size) + np.arange(int(size.sum()))]
+
+    def _by_steps(self, symbols: np.ndarray, longest: int) -> np.ndarray:
+        """Symbols with every rule replaced by its pair, step by step, until none stands for more ids than ``longest``."""
+        while len(symbols):
+            new = self.size_of(symbols) > longest
+            if not new.any():
+                break
             n = np.where(new, 2, 1)
             at = np.cumsum(n) - n
             out = np.empty(int(n.sum()), np.uint32)
@@ -105,18 +126,22 @@ def chosen_pairs(left: np.ndarray, right: np.ndarray, n_symbols: int) -> list[in
     return out
 
 
+def _bucket(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return ((left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BUCKET_BITS)).astype(np.int64)
+
+
 def compress(ids: np.ndarray, base: int) -> Grammar:
     symbols, rules, lengths = ids.astype(np.uint32), [], np.ones(base, np.int64)
     if len(ids) and int(ids.max()) >= base:
         raise ValueError(f"token ids must be below {base}")
+    most = len(symbols)
     while len(symbols) >= 2 * LEAST_COUNT:
-        code = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
         # pairs that share a bucket are counted together first: one of the most frequent pairs lies in one of the fullest
-        bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        bucket = _bucket(symbols[:-1], symbols[1:])
         full = np.bincount(bucket, minlength=1 << BUCKET_BITS)
-        limit = max(LEAST_COUNT, int(np.partition(full, -CANDIDATES)[-CANDIDATES]))
+        limit = max(LEAST_COUNT, min(most, int(np.partition(full, -CANDIDATES)[-CANDIDATES])))
         place = np.flatnonzero((full >= limit)[bucket])
-        code = code[place]
+        code = symbols[place].astype(np.uint64) << np.uint64(32) | symbols[place + 1]
         ordered = np.sort(code)
         edges = np.flatnonzero(np.concatenate([ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1], [True]]))
         count = np.diff(edges)
@@ -126,9 +151,16 @@ def compress(ids: np.ndarray, base: int) -> Grammar:
         n = base + len(rules)
         picked = pairs[chosen_pairs(pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF), n)]
         if not len(picked):
-            break
-        picked.sort()
-        which = np.minimum(np.searchsorted(picked, code), len(picked) - 1)
+            if limit == LEAST_COUNT:
+                break
+            most = limit // 2  # the fullest buckets hold rare pairs only: look into more of them
+            continue
+        # a bucket's pair is found by the bucket: of two in one bucket, the second waits for the next round
+        theirs, first = np.unique(_bucket(*(x.astype(np.uint32) for x in (picked >> np.uint64(32), picked))), return_index=True)
+        picked = picked[first]
+        of_bucket = np.zeros(1 << BUCKET_BITS, np.int32)
+        of_bucket[theirs] = np.arange(len(picked))
+        which = of_bucket[bucket[place]]
         hit = picked[which] == code
         at, which = place[hit], which[hit]
         # places of different pairs never overlap; in a run of one symbol every second one counts

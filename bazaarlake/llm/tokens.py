@@ -9,9 +9,10 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 from bazaarlake.llm import bytewords
 
 #: Pieces whose ids are kept for later texts; beyond that the store starts anew.
-STORE = 500_000
+STORE = 1_000_000
 SLICE_BYTES = 6_000_000
 #: Letters below this code point are left as they are by normalisation.
 PLAIN = 0x250
@@ -67,26 +68,68 @@ class Encoder:
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
-        self.store: dict[str, bytes] = {}  # ids of a piece as 32-bit numbers
-
-    def ids_of(self, pieces: list[str]) -> list[bytes]:
-        new = [p for p in pieces if p not in self.store]
-        if len(self.store) + len(new) > STORE:
-            self.store, new = {}, pieces
-        other, merge = [], self.tokenizer.model.tokenize
-        for piece in new:
-            word = piece[1:] if self.white_kept and piece[:1] == " " else piece
-            if word.isalpha() and ord(max(word)) < PLAIN and (self.white_kept or word == word.lower()):
-                # one word of plain letters is not normalised or split any more, only merged
-                found = merge(piece.encode().decode("latin-1").translate(self.letters))
-                self.store[piece] = array("I", [t.id for t in found]).tobytes()
-            else:
-                other.append(piece)
-        for i in range(0, len(other), 20_000):
-            some = other[i : i + 20_000]
-            for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.store[piece] = array("I", e.ids).tobytes()
-        return [self.store[p] for p in pieces]
+        # pieces of one word of ASCII letters, which byte-level vocabularies write as they are
+        self.plain = "^ ?[A-Za-z]+$" if white_kept else "^[a-z]+$"
+        # letters below PLAIN as those of their bytes
+        self.spelled = {c: "".join(chr(self.letters[b]) for b in chr(c).encode()) for c in range(PLAIN)}
+        self.forget()
+
+    def forget(self) -> None:
+        """Start the store of pieces anew: all of them, their ids one after another, and how many each has."""
+        self.pieces = pa.array([], pa.large_string())
+        self.flat, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def merged(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids and their numbers of words of plain letters, which are not normalised or split any more, only merged."""
+        ids, sizes, merge = [], [], self.tokenizer.model.tokenize
+        for i in range(0, len(words), 20_000):
+            found = list(map(merge, words[i : i + 20_000]))
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(map(attrgetter("id"), chain.from_iterable(found)), np.uint32, int(sizes[-1].sum())))
+        return ids, sizes
+
+    def ids_of(self, pieces: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        ids, sizes = [], []
+        for i in range(0, len(pieces), 20_000):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[i : i + 20_000], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        return ids, sizes
+
+    def is_plain(self, piece: str) -> bool:
+        word = piece[1:] if self.white_kept and piece[:1] == " " else piece
+        return word.isalpha() and ord(max(word)) < PLAIN and (self.white_kept or word == word.lower())
+
+    def numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The number of each of these distinct pieces in the store, which takes in the new ones."""
+        at = pc.index_in(pieces, value_set=self.pieces)
+        if len(self.pieces) and len(self.pieces) + at.null_count > STORE:
+            self.forget()
+            at = pc.index_in(pieces, value_set=self.pieces)
+        lacking = at.is_null()
+        number = at.fill_null(-1).to_numpy().astype(np.int64)
+        new = pieces.filter(lacking)
+        if not len(new):
+            return number
+        plain = pc.match_substring_regex(new, self.plain)
+        words, rest = new.filter(plain), new.filter(pc.invert(plain))
+        ids, sizes = self.merged(pc.replace_substring(words, " ", self.spelled[0x20]).to_pylist())
+        signs = rest.to_pylist()
+        latin = np.fromiter(map(self.is_plain, signs), bool, len(signs))
+        kinds = np.where(plain.to_numpy(zero_copy_only=False), 0, 2)
+        kinds[np.flatnonzero(kinds)[latin]] = 1
+        for more, many in (
+            self.merged([p.translate(self.spelled) for p, whole in zip(signs, latin, strict=True) if whole]),
+            self.ids_of([p for p, whole in zip(signs, latin, strict=True) if not whole]),
+        ):
+            ids += more
+            sizes += many
+        # stored by kind
+        order = np.argsort(kinds, kind="stable")
+        number[np.flatnonzero(lacking.to_numpy(zero_copy_only=False))[order]] = len(self.pieces) + np.arange(len(new))
+        self.pieces = pa.concat_arrays([self.pieces, new.take(pa.array(order))])
+        self.flat, self.size = np.concatenate([self.flat, *ids]), np.concatenate([self.size, *sizes])
+        return number
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the n + 1 places where those of each begin."""
@@ -103,17 +146,14 @@ class Encoder:
             lower = pc.ascii_lower(pc.replace_substring(column, "\n", " "))
             lists = pc.split_pattern(pc.replace_substring_regex(lower, letter_sign(), r"\1 \2"), " ")
         coded = lists.flatten().dictionary_encode()
+        number = self.numbers(coded.dictionary)
+        size, first = self.size[number], (np.cumsum(self.size) - self.size)[number]
         place = coded.indices.to_numpy()
-        pieces = coded.dictionary.to_pylist()
-        known = self.ids_of(pieces)
-        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        flat = np.frombuffer(b"".join(known), np.uint32)
-        first = np.cumsum(size) - size
         at = lists.offsets.to_numpy().astype(np.int64)
         at = at - at[0]
         n = size[place]
         before = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat(first[place] - before[:-1], n) + np.arange(before[-1])]
+        ids = self.flat[np.repeat(first[place] - before[:-1], n) + np.arange(before[-1])]
         edges = before[at]
         # texts that hold the mark itself, a loose dot above or the string of a special token
         if odd is None:  # a dot above belongs to a capital I, also across other marks, before it is lower-cased
@@ -137,11 +177,17 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(vocabulary: str, white_kept: bool, special_ids: bool) -> Encoder:
+    """The encoder of a worker: its later tasks find the pieces of earlier ones in the store."""
+    return Encoder(vocabulary, white_kept, special_ids)
+
+
 def encoded(
     batches: Iterator[pa.RecordBatch], vocabulary: str, white_kept: bool, end_id: int, special_ids: bool = False
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Rows with a text, the ids of all their texts with end_id behind each, and the n + 1 places where each begins."""
-    encoder = Encoder(vocabulary, white_kept, special_ids)
+    encoder = shared_encoder(vocabulary, white_kept, special_ids)
     for batch in batches:
         for part in bytewords.slices(batch, limit=SLICE_BYTES):
             ids, edges = encoder.encode(part.column("text"))

@@ -129,6 +129,30 @@ def test_store_of_pieces_starts_anew(monkeypatch):
         assert ids.tolist() == plain_ids("byte_bpe_50k.json", text)
 
 
+def test_a_worker_merges_a_piece_once(monkeypatch):
+    monkeypatch.setattr(tokens, "STORE", 500)
+    tokens.shared_encoder.cache_clear()
+    merged, texts = [], ["one two three", "three four\nfünf", "one two four"]
+    kept = tokens.Encoder.merged
+    monkeypatch.setattr(tokens.Encoder, "merged", lambda self, words: merged.extend(words) or kept(self, words))
+    for text in texts:  # a task each
+        batch = pa.record_batch([pa.array([text])], ["text"])
+        ((_, ids, _),) = tokens.encoded(iter([batch]), "byte_bpe_50k.json", True, 0)
+        assert ids.tolist() == [*plain_ids("byte_bpe_50k.json", text), 0]
+    assert merged == ["one", "Ġtwo", "Ġthree", "three", "Ġfour", "fÃ¼nf"]
+    tokens.shared_encoder.cache_clear()
+
+
+def test_pairs_are_replaced_also_where_buckets_are_shared(monkeypatch):
+    monkeypatch.setattr(token_files, "BUCKET_BITS", 4)
+    monkeypatch.setattr(token_files, "CANDIDATES", 2)
+    ids = np.tile(np.random.default_rng(3).integers(0, 50257, 700).astype(np.uint32), 20)
+    grammar = token_files.compress(ids, token_files.FIRST_SYMBOL)
+    assert (grammar.expand(grammar.symbols) == ids).all()
+    pairs = np.unique(np.stack([grammar.symbols[:-1], grammar.symbols[1:]]), axis=1, return_counts=True)[1]
+    assert pairs.max() < 2 * token_files.LEAST_COUNT and len(grammar.to_bytes()) < 15 * 700
+
+
 def test_repair_round_trip_and_random_access():
     rng = np.random.default_rng(1)
     cases = [np.zeros(0), [7], [5] * 1001, [1, 2] * 500, [1, 1, 2] * 400, rng.integers(0, 4, 5000), rng.integers(0, 50257, 3000)]
