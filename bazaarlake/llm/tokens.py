@@ -20,8 +20,9 @@ import pyarrow.compute as pc
 
 from bazaarlake.llm import bytewords
 
-#: Pieces whose ids are kept for later texts; beyond that the store starts anew.
+#: Pieces whose ids are kept for later texts, and their bytes; beyond either the store starts anew. Some texts are one piece.
 STORE = 1_000_000
+STORE_BYTES = 32_000_000
 SLICE_BYTES = 6_000_000
 #: Letters below this code point are left as they are by normalisation.
 PLAIN = 0x250
@@ -103,7 +104,7 @@ class Encoder:
     def numbers(self, pieces: pa.Array) -> np.ndarray:
         """The number of each of these distinct pieces in the store, which takes in the new ones."""
         at = pc.index_in(pieces, value_set=self.pieces)
-        if len(self.pieces) and len(self.pieces) + at.null_count > STORE:
+        if len(self.pieces) + at.null_count > STORE or self.pieces.nbytes > STORE_BYTES:
             self.forget()
             at = pc.index_in(pieces, value_set=self.pieces)
         lacking = at.is_null()

@@ -129,6 +129,16 @@ def test_store_of_pieces_starts_anew(monkeypatch):
         assert ids.tolist() == plain_ids("byte_bpe_50k.json", text)
 
 
+def test_store_of_pieces_holds_few_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "STORE_BYTES", 5000)
+    encoder = tokens.Encoder("byte_bpe_50k.json", True)
+    for i in range(20):  # a tab makes one piece of a text
+        text = f"{i}\t" + "some words " * 100
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == plain_ids("byte_bpe_50k.json", text)
+    assert encoder.pieces.nbytes < 5000 + 2 * 1200
+
+
 def test_a_worker_merges_a_piece_once(monkeypatch):
     monkeypatch.setattr(tokens, "STORE", 500)
     tokens.shared_encoder.cache_clear()
