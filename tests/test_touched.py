@@ -155,3 +155,28 @@ def test_tables_of_a_build_are_not_shuffled_again(spark, shop, monkeypatch):
     models.build()
     plans = {name: plan for name, _, plan in written}
     assert all("Exchange hashpartitioning" not in plans[name] for name in ("fct_orders", "fct_order_items"))
+
+
+def test_large_raw_tables_are_built_in_slices(spark, shop, monkeypatch):
+    """However few the buckets are, a task takes a piece of bounded size; later builds and other readers keep the slices."""
+    m, layers, _ = shop
+    monkeypatch.setattr(versions, "SLICE_BYTES", 8 << 10)
+    models = TouchedModels(spark, layers, 2)
+    models.build()
+    assert models.slices > 1
+    monkeypatch.undo()
+    parts = 2 * models.slices
+    for entity in ENTITIES:
+        tables.append_table(feed(m, entity.name, "day2"), layers.raw, entity.ingest_table)
+    again = TouchedModels(spark, layers, 2)
+    assert again.build().batches == ["day2"] and again.slices == models.slices
+    for place, name in ((layers.staging, "latest_orders"), (layers.staging, "latest_order_items"), *((again._place(n), n) for n in FACTS)):
+        assert len(spark.table(f"`{place}`.`{name}`").inputFiles()) == parts, name  # a file each: a task wrote one slice, sorted
+    same_as_full(spark, layers, again)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = touched.marts.fct_order_items(again.staged("order_items"), again.model("int_orders_enriched"))
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort [" not in plan and facts.rdd.getNumPartitions() == parts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

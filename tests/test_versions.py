@@ -147,3 +147,29 @@ def test_bucketed_tables_join_and_group_without_an_exchange(spark, layers, monke
         assert "Exchange" not in plan_of(spark.table(f"{ns}.a").groupBy("order_id").count())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_bucket_is_cut_into_slices_and_replaced_as_a_whole(spark, layers, monkeypatch):
+    ns, sliced = layers.raw, Layout("order_id", 4, 3)
+    monkeypatch.setattr(versions, "SLICE_BYTES", 100)
+    assert versions.fitting(Layout("order_id", 4), 1200) == sliced and versions.fitting(LAYOUT, 800) == LAYOUT
+    assert versions.fitting(LAYOUT, 2**63).tasks == versions.MOST_SLICES
+    ids = [*range(300), None]
+    for name in ("one", "two"):
+        publish_buckets(numbered(spark, ids, 1), ns, name, sliced)
+    version = spark.table(f"{ns}.{versions.current_version(spark, ns, 'one')}")
+    assert len(version.inputFiles()) == 12 and versions.slices_of(spark, ns, "one", 4) == 3
+    assert version.where(F.col(versions.KEY_BUCKET) != versions.bucket_of(F.col("order_id"), 4)).isEmpty()
+    some = touched(numbered(spark, [7], 2), sliced)
+    publish_buckets(rows_of(spark, ns, "one", some).withColumn("v", F.lit(2).cast("long")), ns, "one", sliced, some)
+    before = {f for f in spark.table(f"{ns}.two").inputFiles()}
+    assert len(spark.table(f"{ns}.one").inputFiles()) == len(before) == 12
+    changed = spark.table(f"{ns}.one").where("v = 2")
+    assert changed.count() == rows_of(spark, ns, "two", some).count() > 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = spark.table(f"{ns}.one").join(spark.table(f"{ns}.two").withColumnRenamed("v", "w"), "order_id")
+        assert "Exchange" not in plan_of(both) and "Sort [" not in plan_of(both)
+        assert both.rdd.getNumPartitions() == 12 and both.count() == 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
