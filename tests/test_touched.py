@@ -1,6 +1,7 @@
 """The build of touched keys equals the full build and reads and writes touched buckets only."""
 
 import re
+from functools import partial
 
 import pytest
 from conftest import SMALL, rows
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from bazaarlake.plans import build, touched
 from bazaarlake.plans.touched import FACTS, TouchedModels
 from bazaarlake.schemas import ENTITIES, RAW_SCHEMAS
+from bazaarlake.session import side_by_side
 from bazaarlake.sources import tables, versions
 from shopfixture.models import Models
 from shopfixture.shop import FIRST_FEED
@@ -180,3 +182,21 @@ def test_large_raw_tables_are_built_in_slices(spark, shop, monkeypatch):
         assert "Exchange" not in plan and "Sort [" not in plan and facts.rdd.getNumPartitions() == parts
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_works_side_by_side_have_local_properties_of_their_own(spark):
+    """Shared ones lose the running query of one thread when that of another ends."""
+    sc = spark.sparkContext
+
+    def work(n):
+        sc.setLocalProperty("mine", str(n))
+        spark.range(1000).groupBy(F.col("id") % 7).count().collect()
+        return sc.getLocalProperty("mine")
+
+    assert side_by_side(spark, [partial(work, n) for n in range(12)], 4) == [str(n) for n in range(12)]
+
+    def fail():
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        side_by_side(spark, [fail, partial(work, 1)], 2)
